@@ -10,7 +10,8 @@ def zero_padded(text: Column, width: int = 3) -> Column:
 
 
 def base64_text(text: Column) -> Column:
-    return F.base64(F.encode(text, "UTF-8"))
+    """Base64 of the UTF-8 bytes, in one line however long."""
+    return F.translate(F.base64(F.encode(text, "UTF-8")), "\r\n", "")
 
 
 def content_hash(body: Column) -> Column:

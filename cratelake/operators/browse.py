@@ -59,7 +59,8 @@ def table_sort(
 
 
 def table_page(
-    df: DataFrame, *order: Column | str, row_key: str, page: int = 1, size: int = PAGE_SIZE
+    df: DataFrame, *order: Column | str, row_key: str, page: int = 1, size: int = PAGE_SIZE,
+    near_rows: int = NEAR_ROWS,
 ) -> DataFrame:
     """Rows of one page, in order.
 
@@ -70,7 +71,7 @@ def table_page(
     if page < 1 or size < 1:
         raise ValueError("page and size start at 1")
     order = order + (F.col(row_key).asc(),)
-    if page * size <= NEAR_ROWS:
+    if page * size <= near_rows:
         return df.orderBy(*order).offset((page - 1) * size).limit(size)
     ranked = with_position(df, *order, keep=[row_key])
     on_page = ranked.where(F.col("pos").between((page - 1) * size + 1, page * size))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cratelake.functions.payload import fields_of
+from cratelake.functions.text import quantity_value
 from cratelake.model import (
     CRATE_FIELDS, DATE_FIELDS, FORM_NAMES, QUEUE_VIEW_FIELDS, TIME_FIELDS,
 )
@@ -71,3 +72,12 @@ def accepted(df: DataFrame) -> DataFrame:
 
 def rejected(df: DataFrame) -> DataFrame:
     return with_reasons(df).where(F.size("reason") > 0)
+
+
+def typed_view(crates: DataFrame) -> DataFrame:
+    """Text columns read as the dates and quantities they mean; bad text becomes null."""
+    return crates.withColumns({
+        **{name: F.col(name).try_cast("date") for name in DATE_FIELDS},
+        "temperature": quantity_value(F.col("temperature"), "C", 6),
+        "weight": quantity_value(F.col("weight"), "kg", 12),
+    })

@@ -55,16 +55,19 @@ def path_date(path: Column) -> Column:
     return F.nullif(text, F.lit("")).try_cast("date")
 
 
-def with_arrival(landed: DataFrame, keep_declared: bool = False) -> DataFrame:
+def with_arrival(
+    landed: DataFrame, keep_declared: bool = False, *extra: Column
+) -> DataFrame:
     """Routed records with the directory's date as ``creation_date``.
 
-    The record's own date is dropped or kept under another name.
+    The record's own date is dropped or kept under another name; ``extra`` columns follow.
     """
     declared = DECLARED_DATE if DECLARED_DATE in landed.columns else ARRIVAL_DATE
     fields = [
         *CRATE_FIELDS[:-1],
         *([F.col(declared).alias(DECLARED_DATE)] if keep_declared else []),
         path_date(F.col("_metadata.file_path")).alias(ARRIVAL_DATE),
+        *extra,
     ]
     return landed.select(*fields)
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cratelake.model import ARRIVAL_DATE, CRATE_FIELDS
@@ -58,16 +57,3 @@ def schema_report(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(
         rows, "position INT, column_name STRING, data_type STRING"
     )
-
-
-def typed_view(crates: DataFrame) -> DataFrame:
-    """Text columns read as the dates and quantities they mean; bad text becomes null."""
-    from cratelake.functions.text import quantity_value
-    from cratelake.model import DATE_FIELDS
-
-    dates = {name: F.col(name).try_cast("date") for name in DATE_FIELDS if name in crates.columns}
-    return crates.withColumns({
-        **dates,
-        "temperature": quantity_value(F.col("temperature"), "C", 6),
-        "weight": quantity_value(F.col("weight"), "kg", 12),
-    })

@@ -64,7 +64,8 @@ def deduplicate_stream(
                 state.setTimeoutTimestamp(ends)
             else:
                 state.remove()
-        yield arrived.iloc[kept]
+        if kept:
+            yield arrived.iloc[kept]
 
     return rows.groupBy("key").applyInPandasWithState(
         fold,
