@@ -10,13 +10,13 @@ from cratelake.operators.numbering import with_position
 
 def batch_of(arrival_no: Column, threshold: int = 10) -> Column:
     """0-based batch of the 1-based arrival; a batch fires at threshold + 1 arrivals."""
-    return F.floor((arrival_no - 1) / (threshold + 1))
+    return F.call_function("div", arrival_no - 1, F.lit(threshold + 1))
 
 
 def full_batches(numbered: DataFrame, total: int | Column, threshold: int = 10) -> DataFrame:
     """Arrivals whose batch has fired; the rest still wait."""
     total = total if isinstance(total, Column) else F.lit(total)
-    fired = F.floor(total / (threshold + 1))
+    fired = F.call_function("div", total, F.lit(threshold + 1))
     return numbered.withColumn("batch_id", batch_of(F.col("arrival_no"), threshold)).where(
         F.col("batch_id") < fired
     )

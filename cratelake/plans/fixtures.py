@@ -29,60 +29,70 @@ def _pick(values: list[str]) -> Column:
     return chosen
 
 
-def crates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One crate record per order, plus ``arrival_date``, ``seq`` and ``sent_ts``.
+def order_crates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The crate fields an order gives by itself, plus ``arrival_date``, ``seq``, ``sent_ts``.
 
     Crates arrive on the first of the month after their order, so that even a small set
     fills its partitions.
+    """
+    key, day, status = F.col("o_orderkey"), F.to_date("o_orderdate"), F.col("o_orderstatus")
+    day_text, week_later = day.cast("string"), F.date_add(day, 7).cast("string")
+    return table(spark, sf_dir, "orders").select(
+        "o_custkey",
+        key.cast("string").alias("crate_id"),
+        F.concat(F.lit("CUST"), zero_padded(F.col("o_custkey").cast("string")))
+        .alias("customer_id"),
+        F.concat(F.col("o_custkey").cast("string"), F.lit(" Depot Road"))
+        .alias("delivery_address"),
+        day_text.alias("delivery_date"),
+        F.lit("08:30:00").alias("delivery_time"),
+        week_later.alias("return_date"),
+        F.lit("17:15").alias("return_time"),
+        _pick(CONTENTS).alias("contents"),
+        F.concat(F.lit("ORD"), zero_padded((key % 100 + 1).cast("string")))
+        .alias("batch_order_number"),
+        _pick(TRANSPORT).alias("transportation_details"),
+        F.when(status == "F", "Returned").when(status == "O", "In Transit")
+        .when(status == "P", "Delivered").alias("return_status"),
+        day_text.alias("qr_code_generation_date"),
+        _pick(NOTES).alias("additional_notes"),
+        quantity_text((key % 1000).cast("decimal(6,2)") / 100, "C", 6).alias("temperature"),
+        quantity_text(F.col("o_totalprice"), "kg", 12).alias("weight"),
+        week_later.alias("expiration_date"),
+        _pick(HANDLING).alias("handling_instructions"),
+        F.when(status == "F", "Delivered").otherwise("In Transit").alias("shipment_status"),
+        day_text.alias("creation_date"),
+        F.add_months(F.trunc(day, "month"), 1).alias("arrival_date"),
+        key.alias("seq"),
+        F.col("o_orderdate").alias("sent_ts"),
+    )
+
+
+def crates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One full crate record per order, plus ``arrival_date``, ``seq`` and ``sent_ts``.
 
     Nation and region are fixed at 25 and 5 rows, hence the broadcasts.
     """
-    orders = table(spark, sf_dir, "orders")
-    customer = table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", "c_nationkey", "c_mktsegment"
-    )
     places = table(spark, sf_dir, "nation").join(
         F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey")
-    ).select("n_nationkey", "n_name", "r_name")
-    joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left").join(
-        F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"), "left"
     )
-    key, day = F.col("o_orderkey"), F.to_date("o_orderdate")
-    status = F.col("o_orderstatus")
-    week_later = F.date_add(day, 7).cast("string")
-    fields = {
-        "crate_id": key.cast("string"),
-        "customer_id": F.concat(F.lit("CUST"), zero_padded(F.col("o_custkey").cast("string"))),
-        "customer_name": F.col("c_name"),
-        "delivery_address": F.concat(F.col("o_custkey").cast("string"), F.lit(" Depot Road")),
-        "city": F.col("n_name"),
-        "state": F.col("r_name"),
-        "delivery_date": day.cast("string"),
-        "delivery_time": F.lit("08:30:00"),
-        "return_date": week_later,
-        "return_time": F.lit("17:15"),
-        "contents": _pick(CONTENTS),
-        "batch_order_number": F.concat(
-            F.lit("ORD"), zero_padded((key % 100 + 1).cast("string"))
-        ),
-        "transportation_details": _pick(TRANSPORT),
-        "return_status": F.when(status == "F", "Returned").when(status == "O", "In Transit")
-        .when(status == "P", "Delivered"),
-        "qr_code_generation_date": day.cast("string"),
-        "additional_notes": _pick(NOTES),
-        "temperature": quantity_text((key % 1000).cast("decimal(6,2)") / 100, "C", 6),
-        "weight": quantity_text(F.col("o_totalprice"), "kg", 12),
-        "expiration_date": week_later,
-        "handling_instructions": _pick(HANDLING),
-        "shipment_status": F.when(status == "F", "Delivered").otherwise("In Transit"),
-        "company_name": F.col("c_mktsegment"),
-        "creation_date": day.cast("string"),
-    }
-    return joined.select(
-        *[fields[name].alias(name) for name in CRATE_FIELDS],
-        F.add_months(F.trunc(day, "month"), 1).alias("arrival_date"),
-        key.alias("seq"),
-        F.col("o_orderdate").alias("sent_ts"),
+    customers = table(spark, sf_dir, "customer")
+    joined = (
+        order_crates(spark, sf_dir)
+        .join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+        .join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .withColumnsRenamed({
+            "c_name": "customer_name", "n_name": "city", "r_name": "state",
+            "c_mktsegment": "company_name",
+        })
+    )
+    return joined.select(*CRATE_FIELDS, "arrival_date", "seq", "sent_ts")
+
+
+def sent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The queue's messages without their bodies."""
+    return order_crates(spark, sf_dir).select(
+        F.col("crate_id").alias("message_id"), F.col("sent_ts").cast("timestamp"), "seq"
     )
 
 

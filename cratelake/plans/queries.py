@@ -124,7 +124,7 @@ def schema_report(spark, sf_dir):
 
 
 def notify_scanned(spark, sf_dir):
-    crates = fixtures.crates(spark, sf_dir).withColumn("message_id", F.col("crate_id"))
+    crates = fixtures.order_crates(spark, sf_dir).withColumn("message_id", F.col("crate_id"))
     return queue.scan_notifications(queue.scanned(crates, fixtures.acks(spark, sf_dir)))
 
 
@@ -192,8 +192,8 @@ def validate_reject(spark, sf_dir):
 
 
 def pending(spark, sf_dir):
-    sent = fixtures.messages(spark, sf_dir)
-    return _plain_times(queue.pending(sent, fixtures.acks(spark, sf_dir)).drop("body"))
+    sent = fixtures.sent(spark, sf_dir)
+    return _plain_times(queue.pending(sent, fixtures.acks(spark, sf_dir)))
 
 
 def pending_after_scan(spark, sf_dir):
@@ -212,12 +212,12 @@ def pending_after_scan(spark, sf_dir):
 
 
 def queue_head(spark, sf_dir):
-    sent = fixtures.messages(spark, sf_dir).drop("body")
+    sent = fixtures.sent(spark, sf_dir)
     return _plain_times(queue.head(queue.pending(sent, fixtures.acks(spark, sf_dir))))
 
 
 def queue_peek10(spark, sf_dir):
-    sent = fixtures.messages(spark, sf_dir).drop("body")
+    sent = fixtures.sent(spark, sf_dir)
     return _plain_times(queue.peek(queue.pending(sent, fixtures.acks(spark, sf_dir))))
 
 
@@ -229,12 +229,12 @@ def waiting_files(spark, sf_dir):
 
 
 def kpi_cards(spark, sf_dir):
-    crates = fixtures.crates(spark, sf_dir)
+    crates = fixtures.order_crates(spark, sf_dir)
     return dashboard.kpi_cards(crates, F.col("return_status") == "Returned")
 
 
 def _requests(spark, sf_dir):
-    return fixtures.crates(spark, sf_dir).withColumn("day", F.to_date("sent_ts"))
+    return fixtures.order_crates(spark, sf_dir).withColumn("day", F.to_date("sent_ts"))
 
 
 def requests_7d(spark, sf_dir):
@@ -312,7 +312,7 @@ def table_page_far(spark, sf_dir):
 
 
 def table_page_count(spark, sf_dir):
-    return browse.page_count(fixtures.crates(spark, sf_dir))
+    return browse.page_count(fixtures.order_crates(spark, sf_dir))
 
 
 # --- scalar functions
@@ -364,7 +364,7 @@ def string_scalars(spark, sf_dir):
 
 
 def unit_scalars(spark, sf_dir):
-    crates = fixtures.crates(spark, sf_dir)
+    crates = fixtures.order_crates(spark, sf_dir)
     return crates.select(
         "crate_id",
         "weight",
