@@ -37,14 +37,25 @@ def table_search(df: DataFrame, query: str) -> DataFrame:
     return df.where(reduce(Column.__and__, found))
 
 
-def sort_keys(name: str, ascending: bool = True) -> list[Column]:
-    """Numbers as numbers, other cells as lower-case text; descending turns all around."""
+def _with_sort_keys(df: DataFrame, name: str) -> DataFrame:
+    """Adds ``_number``, null for text cells, and ``_text``, null for number cells.
+
+    As columns, they are worked out once a row; as sort expressions, once a comparison.
+    """
     bare = F.regexp_replace(F.coalesce(F.col(name).cast("string"), F.lit("")), IGNORED, "")
     number = F.when(bare.rlike(NUMBER), bare.try_cast("double"))
-    text = F.when(number.isNull(), _shown(name))
+    return df.withColumn("_number", number).withColumn(
+        "_text", F.when(F.col("_number").isNull(), _shown(name))
+    )
+
+
+def _sort_order(ascending: bool, row_key: str) -> list[Column]:
+    """Numbers, then text; descending turns both around but not equal cells."""
     if ascending:
-        return [number.isNull().asc(), number.asc(), text.asc()]
-    return [number.isNull().desc(), number.desc(), text.desc()]
+        keys = [F.col("_number").asc_nulls_last(), F.col("_text").asc()]
+    else:
+        keys = [F.col("_number").desc_nulls_first(), F.col("_text").desc()]
+    return [*keys, F.col(row_key).asc()]
 
 
 def table_sort(
@@ -52,17 +63,19 @@ def table_sort(
 ) -> DataFrame:
     """``df`` with its place ``pos`` after sorting by ``name``.
 
-    ``row_key`` is unique and ascending in the order the rows had before; equal cells keep
-    that order in both directions.
+    Numbers compare as numbers, other cells as lower-case text. ``row_key`` is unique and
+    ascending in the order the rows had before.
     """
-    return with_position(df, *sort_keys(name, ascending), F.col(row_key).asc())
+    return with_position(
+        _with_sort_keys(df, name), *_sort_order(ascending, row_key), keep=df.columns
+    )
 
 
 def table_page(
-    df: DataFrame, *order: Column | str, row_key: str, page: int = 1, size: int = PAGE_SIZE,
-    near_rows: int = NEAR_ROWS,
+    df: DataFrame, name: str | None = None, *, row_key: str, ascending: bool = True,
+    page: int = 1, size: int = PAGE_SIZE, near_rows: int = NEAR_ROWS,
 ) -> DataFrame:
-    """Rows of one page, in order.
+    """Rows of one page of ``df``, sorted by ``name`` or left in ``row_key`` order.
 
     A page near the front is a top-k. One far in would make a single task keep all rows
     before it, so there only the keys are numbered and the page's rows, at most ``size``,
@@ -70,10 +83,13 @@ def table_page(
     """
     if page < 1 or size < 1:
         raise ValueError("page and size start at 1")
-    order = order + (F.col(row_key).asc(),)
+    keyed, order = df, [F.col(row_key).asc()]
+    if name is not None:
+        keyed, order = _with_sort_keys(df, name), _sort_order(ascending, row_key)
     if page * size <= near_rows:
-        return df.orderBy(*order).offset((page - 1) * size).limit(size)
-    ranked = with_position(df, *order, keep=[row_key])
+        found = keyed.orderBy(*order).offset((page - 1) * size).limit(size)
+        return found.select(*df.columns)
+    ranked = with_position(keyed, *order, keep=[row_key])
     on_page = ranked.where(F.col("pos").between((page - 1) * size + 1, page * size))
     return (
         df.join(F.broadcast(on_page.select(row_key, "pos")), row_key)

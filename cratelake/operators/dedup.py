@@ -75,7 +75,7 @@ def _fold_groups(rows: DataFrame, interval: dt.timedelta) -> DataFrame:
     message = "struct<ts: {0}, tie: {1}>".format(
         rows.schema["ts"].dataType.simpleString(), rows.schema["tie"].dataType.simpleString()
     )
-    ordered = F.array_sort(F.collect_list(F.struct("ts", "tie")))
+    ordered = F.sort_array(F.collect_list(F.struct("ts", "tie")))
 
     def step(kept: Column, m: Column) -> Column:
         last = F.try_element_at(kept, F.lit(-1))["ts"]

@@ -46,32 +46,34 @@ def inprogress_rejects(messages: DataFrame) -> DataFrame:
     )
 
 
-def _rule(failed: Column, text: str) -> Column:
-    return F.when(failed, F.lit(text))
+_BETWEEN = "; "
 
 
-def with_reasons(df: DataFrame) -> DataFrame:
-    """Adds ``reason``: the form rules a record breaks, empty for a valid one."""
+def _broken_rules() -> Column:
+    """Text naming the form rules a record breaks, empty for a valid one."""
     rules = []
     for name in CRATE_FIELDS:
         value = F.col(name)
         empty = value.isNull() | (value == "")
-        rules.append(_rule(empty, f"{name} is missing"))
+        rules.append(F.when(empty, f"{name} is missing"))
         if name in DATE_FIELDS:
             shaped = value.rlike(r"^\d{4}-\d{2}-\d{2}$") & value.try_cast("date").isNotNull()
-            rules.append(_rule(~empty & ~shaped, f"{name} is not a date"))
+            rules.append(F.when(~empty & ~shaped, f"{name} is not a date"))
         if name in TIME_FIELDS:
             shaped = value.rlike(r"^([01]\d|2[0-3]):[0-5]\d(:[0-5]\d)?$")
-            rules.append(_rule(~empty & ~shaped, f"{name} is not a time"))
-    return df.withColumn("reason", F.array_compact(F.array(*rules)))
+            rules.append(F.when(~empty & ~shaped, f"{name} is not a time"))
+    return F.concat_ws(_BETWEEN, *rules)
 
 
 def accepted(df: DataFrame) -> DataFrame:
-    return with_reasons(df).where(F.size("reason") == 0).drop("reason")
+    """Records that keep every rule of the form."""
+    return df.where(_broken_rules() == "")
 
 
 def rejected(df: DataFrame) -> DataFrame:
-    return with_reasons(df).where(F.size("reason") > 0)
+    """The other records, with ``reason``: the rules each one breaks."""
+    broken = df.withColumn("reason", _broken_rules()).where(F.col("reason") != "")
+    return broken.withColumn("reason", F.split("reason", _BETWEEN))
 
 
 def typed_view(crates: DataFrame) -> DataFrame:

@@ -37,6 +37,14 @@ def ragged_queue(spark: SparkSession, sf_dir: str) -> str:
     )
 
 
+def forms(spark: SparkSession, sf_dir: str) -> str:
+    """Submitted forms, faulty ones among them."""
+    return _once(
+        spark, sf_dir, "forms",
+        lambda p: fixtures.faulty_crates(spark, sf_dir).select(*CRATE_FIELDS).write.parquet(p),
+    )
+
+
 def raw(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "raw", lambda p: write_raw(fixtures.crates(spark, sf_dir), p))
 

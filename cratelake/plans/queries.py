@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cratelake.functions import dates, keys, payload, text
-from cratelake.model import CRATE_FIELDS, LANDED_SCHEMA, TRACKING_FIELDS
+from cratelake.model import CRATE_FIELDS, CRATE_SCHEMA, LANDED_SCHEMA, TRACKING_FIELDS
 from cratelake.operators import (
     batches, browse, dashboard, dedup, queue, records, tracking,
 )
@@ -179,12 +179,16 @@ def result_as_text(spark, sf_dir):
     return records.result_as_text(typed)
 
 
+def _forms(spark, sf_dir):
+    return spark.read.schema(CRATE_SCHEMA).parquet(lakes.forms(spark, sf_dir))
+
+
 def validate_accept(spark, sf_dir):
-    return records.accepted(fixtures.faulty_crates(spark, sf_dir).select(*CRATE_FIELDS))
+    return records.accepted(_forms(spark, sf_dir))
 
 
 def validate_reject(spark, sf_dir):
-    bad = records.rejected(fixtures.faulty_crates(spark, sf_dir).select(*CRATE_FIELDS))
+    bad = records.rejected(_forms(spark, sf_dir))
     return bad.select("crate_id", F.array_join("reason", "; ").alias("reason"))
 
 
@@ -299,15 +303,13 @@ def table_page(spark, sf_dir):
     found = browse.table_search(
         fixtures.crates(spark, sf_dir).select(*TRACKING_FIELDS, "seq"), "asia dairy"
     )
-    order = browse.sort_keys("return_date", ascending=False)
-    return browse.table_page(found, *order, row_key="seq", page=3)
+    return browse.table_page(found, "return_date", row_key="seq", ascending=False, page=3)
 
 
 def table_page_far(spark, sf_dir):
     """A page located by position, as pages far into a large table are."""
-    order = browse.sort_keys("cell")
     return browse.table_page(
-        _cells(spark, sf_dir), *order, row_key="event_id", page=30, size=25, near_rows=0
+        _cells(spark, sf_dir), "cell", row_key="event_id", page=30, size=25, near_rows=0
     )
 
 

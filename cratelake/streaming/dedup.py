@@ -47,8 +47,10 @@ def deduplicate_stream(
         if state.hasTimedOut:
             state.remove()
             return
-        arrived = pd.concat(parts, ignore_index=True).sort_values(["ts", "tie"])
+        arrived = pd.concat(parts, ignore_index=True)
         micros = arrived["ts"].to_numpy().astype("datetime64[us]").astype(np.int64)
+        order = np.lexsort((arrived["tie"].to_numpy(), micros))
+        micros = micros[order]
         due = state.get[0] + step if state.exists else micros[0]
         kept = []
         at = int(np.searchsorted(micros, due))
@@ -65,7 +67,7 @@ def deduplicate_stream(
             else:
                 state.remove()
         if kept:
-            yield arrived.iloc[kept]
+            yield arrived.iloc[order[kept]]
 
     return rows.groupBy("key").applyInPandasWithState(
         fold,
