@@ -24,12 +24,13 @@ HEADLINE = [
     "track_delivered", "track_delivered_gold", "src_messages", "scan_silver_csv",
     "gold_incremental", "silver_route", "silver_route_stream", "inprogress_view",
     "validate_reject", "pending", "queue_peek10", "pending_after_scan", "dedup_fifo",
-    "dedup_fifo_stream", "count_batches", "count_batches_stream", "table_search",
+    "dedup_fifo_stream", "dedup_fifo_batches", "count_batches", "count_batches_stream", "table_search",
     "table_sort_asc", "table_page", "table_page_far", "kpi_cards", "requests_7d",
     "fulfilled_by_month", "category_share", "key_scalars", "json_scalars",
 ]
 # Tables whose rows a query takes in, for a rate next to the time.
 RATES = {"gold_incremental": "orders", "dedup_fifo": "events", "dedup_fifo_stream": "events",
+         "dedup_fifo_batches": "events",
          "count_batches": "events"}
 
 

@@ -22,7 +22,8 @@ BROADCAST_KEYS = 10_000  # long contents up to this many are broadcast to split
 TICKS = 16              # time slices per interval in which the next message is looked up
 
 
-def _span(interval: dt.timedelta) -> Column:
+def span(interval: dt.timedelta) -> Column:
+    """``interval`` as a literal to add to timestamps."""
     return F.make_dt_interval(secs=F.lit(interval.total_seconds()).cast("decimal(18,6)"))
 
 
@@ -79,7 +80,7 @@ def _fold_groups(rows: DataFrame, interval: dt.timedelta) -> DataFrame:
 
     def step(kept: Column, m: Column) -> Column:
         last = F.try_element_at(kept, F.lit(-1))["ts"]
-        due = last.isNull() | (m["ts"] >= last + _span(interval))
+        due = last.isNull() | (m["ts"] >= last + span(interval))
         return F.when(due, F.concat(kept, F.array(m))).otherwise(kept)
 
     folded = F.aggregate("messages", F.array().cast(f"array<{message}>"), step)
@@ -100,7 +101,7 @@ def _next_pointers(base: DataFrame, interval: dt.timedelta) -> DataFrame:
     tick = F.floor(F.unix_micros(F.col("at").cast("timestamp")) / width)
     points = base.select("key", F.col("ts").alias("at"), F.col("ts").alias("hit"),
                          F.lit(None).cast(base.schema["ts"].dataType).alias("src"))
-    probes = base.select("key", (F.col("ts") + _span(interval)).alias("at"),
+    probes = base.select("key", (F.col("ts") + span(interval)).alias("at"),
                          F.lit(None).cast(base.schema["ts"].dataType).alias("hit"),
                          F.col("ts").alias("src"))
     mixed = points.unionByName(probes).withColumn("tick", tick)

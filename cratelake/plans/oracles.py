@@ -331,6 +331,7 @@ ORACLES: dict[str, str] = {
         FROM events""",
     "dedup_fifo": _DEDUP,
     "dedup_fifo_stream": _DEDUP,
+    "dedup_fifo_batches": _DEDUP,
     "count_batches": _BATCHES,
     "count_batches_stream": _BATCHES,
 }

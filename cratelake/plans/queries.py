@@ -18,7 +18,9 @@ from cratelake.plans import fixtures, lakes
 from cratelake.session import shared_path
 from cratelake.sources import csvfiles, events, files, gold, messages
 from cratelake.streaming import flows
-from cratelake.streaming.dedup import deduplicate_stream
+from cratelake.streaming.dedup import (
+    deduplicate_batches, deduplicate_stream, read_accepted,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -416,6 +418,16 @@ def dedup_fifo_stream(spark, sf_dir):
     return _plain_times(spark.read.schema(kept.schema).parquet(target))
 
 
+def dedup_fifo_batches(spark, sf_dir):
+    path = shared_path(spark, "accepted-batches")
+    deduplicate_batches(
+        fixtures.contents(_event_stream(spark, sf_dir)), INTERVAL,
+        key="dedup_key", ts="ts", tie="event_id",
+        path=path, checkpoint=shared_path(spark, "dedup-batches-checkpoint"),
+    )
+    return _plain_times(read_accepted(spark, path))
+
+
 def count_batches(spark, sf_dir):
     arrivals = fixtures.table(spark, sf_dir, "events").select("event_id", "ts")
     return batches.count_batches(arrivals, "ts", "event_id")
@@ -442,7 +454,7 @@ QUERIES: dict[str, Query] = {
         waiting_files, kpi_cards, requests_7d, fulfilled_by_month, series_max,
         requested_vs_flagged, category_share, table_search, table_sort_asc, table_sort_desc,
         table_page, table_page_far, table_page_count, date_scalars, key_scalars,
-        string_scalars, unit_scalars, json_scalars, dedup_fifo, dedup_fifo_stream,
+        string_scalars, unit_scalars, json_scalars, dedup_fifo, dedup_fifo_stream, dedup_fifo_batches,
         count_batches, count_batches_stream,
     )
 }

@@ -1,4 +1,4 @@
-"""FIFO deduplication of a stream."""
+"""FIFO deduplication of a stream: by state per content, or micro-batch by micro-batch."""
 
 from __future__ import annotations
 
@@ -7,11 +7,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from cratelake.operators.dedup import accepted_messages, span
+
 
 def deduplicate_stream(
     messages: DataFrame,
@@ -30,7 +32,8 @@ def deduplicate_stream(
     are lost; give it only where arrival order is guaranteed.
 
     One task handles a content's messages of one micro-batch, three narrow columns each;
-    the source's maxFilesPerTrigger or maxBytesPerTrigger bounds them.
+    the source's maxFilesPerTrigger or maxBytesPerTrigger bounds them. For large
+    micro-batches use deduplicate_batches.
     """
     step = int(interval.total_seconds() * 1_000_000)
     rows = messages.select(
@@ -76,3 +79,66 @@ def deduplicate_stream(
         "append",
         timeout,
     ).select(F.col("key").alias(key), F.col("ts").alias(ts), F.col("tie").alias(tie))
+
+
+def deduplicate_batches(
+    messages: DataFrame,
+    interval: dt.timedelta,
+    *,
+    key: str,
+    ts: str,
+    tie: str,
+    path: str,
+    checkpoint: str,
+    lateness: dt.timedelta | None = None,
+    **options: int,
+) -> None:
+    """The same for large micro-batches, which may hold one content very often.
+
+    Each micro-batch is stored, stripped of what the last accepted messages rule out, and
+    folded like a table; it then leaves the last accepted time of each content to the next
+    one, or with ``lateness`` only the times that can still matter. Every step writes a
+    folder of the micro-batch's own, so running it again changes nothing.
+
+    The work runs in the caller's session: a stream's own has adaptive execution off, and
+    the joins need it to split a content that many rows share.
+    """
+    spark = messages.sparkSession
+
+    def accept(batch: DataFrame, batch_id: int) -> None:
+        stored = _store(spark, batch.select(
+            F.col(key).alias("key"), F.col(ts).alias("ts"), F.col(tie).alias("tie")
+        ), f"{path}/arrived/batch={batch_id}")
+        known = None
+        fresh = stored
+        if batch_id > 0:
+            known = spark.read.parquet(f"{path}/last/batch={batch_id - 1}")
+            fresh = stored.join(known, "key", "left").where(
+                F.col("last").isNull() | (F.col("ts") >= F.col("last") + span(interval))
+            )
+        kept = accepted_messages(fresh, interval, key="key", ts="ts", tie="tie", **options)
+        accepted = _store(spark, kept.select(
+            F.col("key").alias(key), F.col("ts").alias(ts), F.col("tie").alias(tie)
+        ), f"{path}/accepted/batch={batch_id}")
+        last = accepted.select(F.col(key).alias("key"), F.col(ts).alias("last"))
+        if known is not None:
+            last = last.unionByName(known)
+        last = last.groupBy("key").agg(F.max("last").alias("last"))
+        if lateness is not None:
+            newest = stored.agg(F.max("ts")).first()[0]
+            if newest is not None:
+                last = last.where(F.col("last") > F.lit(newest - interval - lateness))
+        _store(spark, last, f"{path}/last/batch={batch_id}")
+
+    messages.writeStream.foreachBatch(accept).option("checkpointLocation", checkpoint).trigger(
+        availableNow=True
+    ).start().awaitTermination()
+
+
+def read_accepted(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/accepted").drop("batch")
+
+
+def _store(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

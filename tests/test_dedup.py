@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cratelake.operators import batches, dedup
 from cratelake.streaming import flows
-from cratelake.streaming.dedup import deduplicate_stream
+from cratelake.streaming.dedup import deduplicate_batches, deduplicate_stream, read_accepted
 
 START = dt.datetime(2024, 1, 1)
 
@@ -104,6 +104,43 @@ def test_stream_equals_the_rule_over_several_batches(spark, tmp_path, lateness):
     assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == sorted(brute(rows, interval))
 
 
+@pytest.mark.parametrize("lateness", [None, dt.timedelta(0)])
+@pytest.mark.parametrize("group_rows", [4096, 0])
+def test_micro_batches_equal_the_rule(spark, tmp_path, lateness, group_rows):
+    rows = make(5, 300, 3_600)
+    interval = dt.timedelta(minutes=5)
+    stream = _write_in_order(spark, rows, str(tmp_path / "in"), 3)
+    path, checkpoint = str(tmp_path / "out"), str(tmp_path / "ck")
+    for _ in range(2):
+        deduplicate_batches(
+            stream, interval, key="content", ts="ts", tie="id", path=path,
+            checkpoint=checkpoint, lateness=lateness, group_rows=group_rows,
+        )
+    assert sorted(r["id"] for r in read_accepted(spark, path).collect()) == sorted(brute(rows, interval))
+
+
+def test_both_streams_drop_a_late_message_that_is_within_the_interval(spark, tmp_path):
+    """Arrival decides, not the time stated: a late message meets what was accepted before."""
+    minute = dt.timedelta(minutes=1)
+    batches_in = [[("a", START + 10 * minute, 1)], [("a", START, 2), ("a", START + 15 * minute, 3)]]
+    for part in batches_in:
+        frame(spark, part).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("content string, ts timestamp, id int").option(
+        "maxFilesPerTrigger", 1
+    ).parquet(str(tmp_path / "in"))
+    names = {"key": "content", "ts": "ts", "tie": "id"}
+    deduplicate_batches(
+        stream, 5 * minute, **names, path=str(tmp_path / "b"), checkpoint=str(tmp_path / "c1")
+    )
+    deduplicate_stream(stream, 5 * minute, **names).writeStream.format("parquet").option(
+        "path", str(tmp_path / "s")
+    ).option("checkpointLocation", str(tmp_path / "c2")).trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    for found in (read_accepted(spark, str(tmp_path / "b")), spark.read.parquet(str(tmp_path / "s"))):
+        assert sorted(r["id"] for r in found.collect()) == [1, 3]
+
+
 @pytest.mark.parametrize("n, fired", [(0, 0), (10, 0), (11, 1), (35, 3)])
 def test_batches_fire_at_eleven(spark, n, fired):
     df = frame(spark, [("a", START, i) for i in range(n)])
