@@ -35,9 +35,10 @@ def frame(spark, rows):
     return spark.createDataFrame(rows, "content string, ts timestamp, id int")
 
 
-@pytest.mark.parametrize("group_rows", [4096, 150, 0])
-@pytest.mark.parametrize("span_s, step_s, minutes", [
-    (86_400, 1, 5), (3_600, 1, 5), (3_600, 60, 5), (600, 1, 5), (100_000, 300, 10), (60, 1, 5),
+@pytest.mark.parametrize("group_rows, span_s, step_s, minutes", [
+    (4096, 86_400, 1, 5), (4096, 3_600, 60, 5), (4096, 60, 1, 5), (4096, 100_000, 300, 10),
+    (150, 86_400, 1, 5), (150, 600, 1, 5),
+    (0, 3_600, 1, 5), (0, 3_600, 60, 5), (0, 100_000, 300, 10), (0, 60, 1, 5),
 ])
 def test_fold_equals_the_rule(spark, group_rows, span_s, step_s, minutes):
     rows = make(span_s + minutes, 800, span_s, step_s=step_s)
