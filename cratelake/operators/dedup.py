@@ -36,7 +36,10 @@ def accepted_messages(
     tie: str,
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """``(key, ts, tie)`` of the accepted messages. Equal times are ordered by ``tie``."""
+    """``(key, ts, tie)`` of the accepted messages. Equal times are ordered by ``tie``.
+
+    None of the three may be null; ``tie`` identifies a message.
+    """
     if interval <= dt.timedelta(0):
         raise ValueError("interval must be positive")
     rows = messages.select(

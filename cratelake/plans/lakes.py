@@ -51,8 +51,7 @@ def raw(spark: SparkSession, sf_dir: str) -> str:
 
 def silver(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
-        crates = fixtures.crates(spark, sf_dir).select(*CRATE_FIELDS, "arrival_date")
-        write_routed(crates, F.col("arrival_date"), path)
+        write_routed(fixtures.crates(spark, sf_dir), F.col("arrival_date"), path)
 
     return _once(spark, sf_dir, "unprocessed", write)
 

@@ -55,19 +55,16 @@ def path_date(path: Column) -> Column:
     return F.nullif(text, F.lit("")).try_cast("date")
 
 
-def with_arrival(
-    landed: DataFrame, keep_declared: bool = False, *extra: Column
-) -> DataFrame:
+def with_arrival(landed: DataFrame, keep_declared: bool = False) -> DataFrame:
     """Routed records with the directory's date as ``creation_date``.
 
-    The record's own date is dropped or kept under another name; ``extra`` columns follow.
+    The record's own date is dropped or kept under another name.
     """
     declared = DECLARED_DATE if DECLARED_DATE in landed.columns else ARRIVAL_DATE
     fields = [
         *CRATE_FIELDS[:-1],
         *([F.col(declared).alias(DECLARED_DATE)] if keep_declared else []),
         path_date(F.col("_metadata.file_path")).alias(ARRIVAL_DATE),
-        *extra,
     ]
     return landed.select(*fields)
 
@@ -77,8 +74,9 @@ def write_routed(crates: DataFrame, arrival: Column, path: str) -> None:
 
     Rebalancing puts a date's rows together and splits a date with very many.
     """
-    (crates.withColumnRenamed(ARRIVAL_DATE, DECLARED_DATE).withColumn(ARRIVAL_DATE, arrival)
-     .select(*CRATE_FIELDS[:-1], DECLARED_DATE, ARRIVAL_DATE)
+    (crates.select(
+        *CRATE_FIELDS[:-1], F.col(ARRIVAL_DATE).alias(DECLARED_DATE), arrival.alias(ARRIVAL_DATE)
+     )
      .hint("rebalance", ARRIVAL_DATE)
      .write.mode("append").options(**WRITE_OPTIONS)
      .option("maxRecordsPerFile", FILE_ROWS).partitionBy(ARRIVAL_DATE).csv(path))

@@ -100,8 +100,7 @@ def deduplicate_batches(
     one, or with ``lateness`` only the times that can still matter. Every step writes a
     folder of the micro-batch's own, so running it again changes nothing.
 
-    The work runs in the caller's session: a stream's own has adaptive execution off, and
-    the joins need it to split a content that many rows share.
+    The rows are stored first because they are read several times.
     """
     spark = messages.sparkSession
 

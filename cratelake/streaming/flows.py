@@ -21,19 +21,13 @@ from cratelake.sources.csvfiles import (
 )
 from cratelake.sources.files import ensure_folder, exists
 
-# Tasks a date's files of one micro-batch are spread over at most. Rows of one file stay
-# together, so a date never gets more output files than input files.
-DATE_SPLITS = 64
-
-
 def _finish(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
-def _by_date(df: DataFrame, splits: int) -> DataFrame:
-    """Rows of a date together, a date with many files split by file."""
-    salt = F.pmod(F.xxhash64("_file"), F.lit(splits))
-    return df.repartition(ARRIVAL_DATE, salt).drop("_file")
+def _by_date(df: DataFrame) -> DataFrame:
+    """Rows of a date together; a date with very many is split by size."""
+    return df.hint("rebalance", ARRIVAL_DATE)
 
 
 def _written(spark: SparkSession, path: str) -> bool:
@@ -67,7 +61,7 @@ def read_acks(spark: SparkSession, acks: str) -> DataFrame:
 
 def route_files(
     spark: SparkSession, raw: str, silver: str, checkpoint: str,
-    arrival: Column | None = None, max_files: int = 1000, splits: int = DATE_SPLITS,
+    arrival: Column | None = None, max_files: int = 1000,
 ) -> None:
     """Route landed records to their arrival date, by default the day the file was written."""
     arrival = F.col("_metadata.file_modification_time") if arrival is None else arrival
@@ -77,10 +71,9 @@ def route_files(
         *CRATE_FIELDS[:-1],
         F.col(ARRIVAL_DATE).alias(DECLARED_DATE),
         F.col("_arrival").alias(ARRIVAL_DATE),
-        F.col("_metadata.file_path").alias("_file"),
     )
     _finish(
-        _by_date(routed, splits).writeStream.format("csv").options(**WRITE_OPTIONS)
+        _by_date(routed).writeStream.format("csv").options(**WRITE_OPTIONS)
         .partitionBy(ARRIVAL_DATE).option("path", silver)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
@@ -89,14 +82,13 @@ def route_files(
 def ingest_files(
     spark: SparkSession, silver: str, gold: str, checkpoint: str,
     archive: str | None = None, max_files: int = 1000, schema=LANDED_SCHEMA,
-    keep_declared: bool = False, splits: int = DATE_SPLITS,
+    keep_declared: bool = False,
 ) -> None:
     """Routed CSV to the gold Parquet folder; the sink's log makes each file count once."""
     ensure_folder(spark, silver)
     landed = stream_crate_csv(spark, silver, schema, max_files, archive)
-    file = F.col("_metadata.file_path").alias("_file")
     _finish(
-        _by_date(with_arrival(landed, keep_declared, file), splits).writeStream.format("parquet")
+        _by_date(with_arrival(landed, keep_declared)).writeStream.format("parquet")
         .partitionBy(ARRIVAL_DATE).option("path", gold)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )

@@ -130,6 +130,48 @@ def test_repair_makes_partitions_visible(spark, crate, tmp_path):
     assert track_delivered(spark.table("repaired")).count() == 4
 
 
+@pytest.fixture
+def small_partitions(spark):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "300k")
+    yield
+    spark.conf.set(size, before)
+
+
+def _skewed(spark, crate):
+    """Four fifths of the rows on one date."""
+    day = F.when(F.col("id") % 5 < 4, "2023-12-01").otherwise("2023-12-02").cast("date")
+    record = dict(zip(CRATE_FIELDS, crate()))
+    return spark.range(0, 40_000, 1, 8).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("crate_id"),
+        *[F.lit(record[name]).alias(name) for name in CRATE_FIELDS[1:-1]],
+        day.alias("creation_date"),
+    )
+
+
+def _files_by_date(path):
+    return [len(list((path / f"creation_date=2023-12-0{d}").glob("*.parquet"))) for d in (1, 2)]
+
+
+def test_a_date_with_most_rows_is_written_by_several_tasks(
+    spark, crate, tmp_path, small_partitions
+):
+    gold.write_gold(_skewed(spark, crate), str(tmp_path / "gold"))
+    hot, cold = _files_by_date(tmp_path / "gold")
+    assert hot > cold >= 1
+    assert gold.read_gold(spark, str(tmp_path / "gold")).count() == 40_000
+
+
+def test_a_stream_splits_such_a_date_too(spark, crate, tmp_path, small_partitions):
+    silver, target = str(tmp_path / "silver"), tmp_path / "gold"
+    csvfiles.write_routed(_skewed(spark, crate), F.col("creation_date"), silver)
+    flows.ingest_files(spark, silver, str(target), str(tmp_path / "ck"))
+    hot, cold = _files_by_date(target)
+    assert hot > cold >= 1
+    assert gold.read_gold(spark, str(target)).count() == 40_000
+
+
 def test_gold_scan_prunes_and_pushes_down(spark, crate, tmp_path):
     path = str(tmp_path / "gold")
     df = spark.createDataFrame([crate()], CRATE_SCHEMA).withColumn(
