@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# URI pattern, and where objects land, wait and end up.
 _URI = r"^s3://(.+?)/(.+)$"
+LANDING = "raw/csv_data_"
+WAITING = "unprocessed/creation_date="
+DONE = "processed/"
 
 
 def basename(key: Column) -> Column:
@@ -22,7 +26,7 @@ def uri_key(uri: Column) -> Column:
 
 def archive_key(key: Column) -> Column:
     """The same key with its first segment replaced by ``processed``."""
-    return F.concat(F.lit("processed/"), F.regexp_replace(key, "^[^/]*/?", ""))
+    return F.concat(F.lit(DONE), F.regexp_replace(key, "^[^/]*/?", ""))
 
 
 def url_decoded(key: Column) -> Column:
@@ -32,14 +36,12 @@ def url_decoded(key: Column) -> Column:
 
 def silver_key(date: Column, key: Column) -> Column:
     """Where an object that arrived on ``date`` waits for ingestion."""
-    return F.concat(
-        F.lit("unprocessed/creation_date="), date.cast("string"), F.lit("/"), basename(key)
-    )
+    return F.concat(F.lit(WAITING), date.cast("string"), F.lit("/"), basename(key))
 
 
 def bronze_key(ts: Column) -> Column:
     """Landing name of a scan made at ``ts``."""
-    return F.concat(F.lit("raw/csv_data_"), F.date_format(ts, "yyyyMMddHHmmss"), F.lit(".csv"))
+    return F.concat(F.lit(LANDING), F.date_format(ts, "yyyyMMddHHmmss"), F.lit(".csv"))
 
 
 def is_csv(key: Column) -> Column:

@@ -3,6 +3,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The texts of the two notifications.
+SCAN_COMPLETED = "QR Code Scan Completed for Crate id: "
+ARRIVED = "New file '%s' uploaded to S3"
+
 
 def zero_padded(text: Column, width: int = 3) -> Column:
     """Zeros in front up to ``width``; longer text is kept whole."""
@@ -31,10 +35,8 @@ def quantity_value(text: Column, unit: str, precision: int = 12) -> Column:
 
 
 def scan_completed_text(crate_id: Column) -> Column:
-    return F.concat(
-        F.lit("QR Code Scan Completed for Crate id: "), F.coalesce(crate_id, F.lit("None"))
-    )
+    return F.concat(F.lit(SCAN_COMPLETED), F.coalesce(crate_id, F.lit("None")))
 
 
 def arrival_text(key: Column) -> Column:
-    return F.format_string("New file '%s' uploaded to S3", key)
+    return F.format_string(ARRIVED, key)

@@ -50,7 +50,8 @@ def deduplicate_stream(
         if state.hasTimedOut:
             state.remove()
             return
-        arrived = pd.concat(parts, ignore_index=True)
+        first, *more = parts
+        arrived = pd.concat([first, *more], ignore_index=True) if more else first
         micros = arrived["ts"].to_numpy().astype("datetime64[us]").astype(np.int64)
         order = np.lexsort((arrived["tie"].to_numpy(), micros))
         micros = micros[order]
