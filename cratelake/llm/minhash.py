@@ -15,10 +15,11 @@ from cratelake.llm.text import LOWER, SHINGLE, Words, flat, map_slices, mix, shi
 
 BAND_ROWS = 6
 MISS = 1e-6  # chance that no band of a pair at the threshold agrees
-BITS = 4  # low bits kept of each minimum
+BITS = 2  # low bits kept of each minimum
+MINIMA = 1024  # of a signature
 PER_LONG = 64 // BITS
 SIGMAS = 4  # how far below the threshold an estimate may lie before the pair is left out
-HUBS = 3
+HUBS = 2
 
 _U = np.uint64
 
@@ -42,70 +43,79 @@ def _sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return values, counts, names, words.counts
 
 
+def _minima(values: np.ndarray, counts: np.ndarray, many: int, seed: int) -> np.ndarray:
+    """The least value of each set, empty ones left out, under each of ``many`` hash functions."""
+    rng = np.random.default_rng(seed)
+    factor = rng.integers(1, 2**63, many, dtype=np.uint64) * _U(2) + _U(1)
+    turn = rng.integers(1, 2**63, many, dtype=np.uint64)
+    some = np.flatnonzero(counts)
+    minima = np.zeros((many, len(some)), np.uint64)
+    if len(some):
+        begins = (np.cumsum(counts) - counts)[some]
+        room = np.empty_like(values)
+        for i in range(many):
+            np.bitwise_xor(values, turn[i], out=room)
+            np.multiply(room, factor[i], out=room)
+            np.minimum.reduceat(room, begins, out=minima[i])
+    return minima
+
+
+def _lists(rows: np.ndarray, filled: np.ndarray) -> pa.Array:
+    """A list for each document: the next column of ``rows``, or nothing if it is not ``filled``."""
+    ends = np.concatenate([[0], np.cumsum(np.where(filled, len(rows), 0))]).astype(np.int32)
+    return pa.ListArray.from_arrays(ends, pa.array(rows.T.reshape(-1).view(np.int64)))
+
+
 def sketch(docs: DataFrame, bands: int) -> DataFrame:
-    """``doc_id, n_shingles, cls, bands, sig``: set size, the set's name, band hashes, packed low bits.
+    """``doc_id, n_shingles, cls, bands``: size of each row's set, the set's name, a hash per band.
 
     Documents with the same set of shingles have the same ``cls``; it is null for an empty set.
     """
-    hashes = bands * BAND_ROWS
-    rng = np.random.default_rng(bands)
-    factor = rng.integers(1, 2**63, hashes, dtype=np.uint64) * _U(2) + _U(1)
-    turn = rng.integers(1, 2**63, hashes, dtype=np.uint64)
-    longs = -(-hashes // PER_LONG)
-
     def sketched(batch: pa.RecordBatch) -> pa.RecordBatch:
         values, counts, names, _ = _sets(batch.column("text"))
-        some = np.flatnonzero(counts)
-        minima = np.zeros((hashes, len(some)), np.uint64)
-        if len(some):
-            begins = (np.cumsum(counts) - counts)[some]
-            room = np.empty_like(values)
-            for i in range(hashes):
-                np.bitwise_xor(values, turn[i], out=room)
-                np.multiply(room, factor[i], out=room)
-                np.minimum.reduceat(room, begins, out=minima[i])
-        band = np.zeros((bands, len(some)), np.uint64)
-        for i in range(hashes):
-            band[i // BAND_ROWS] = mix(band[i // BAND_ROWS] ^ minima[i]) + _U(i)
-        low = mix(minima) & _U(2**BITS - 1)
-        packed = np.zeros((longs, len(some)), np.uint64)
-        for i in range(hashes):
-            packed[i // PER_LONG] |= low[i] << _U(BITS * (i % PER_LONG))
-
-        def lists(rows: np.ndarray) -> pa.Array:
-            width = np.zeros(len(counts), np.int32)
-            width[some] = len(rows)
-            ends = np.concatenate([[0], np.cumsum(width)]).astype(np.int32)
-            return pa.ListArray.from_arrays(ends, pa.array(rows.T.reshape(-1).view(np.int64)))
-
+        minima = _minima(values, counts, bands * BAND_ROWS, 1)
+        band = np.zeros((bands, minima.shape[1]), np.uint64)
+        for i, row in enumerate(minima):
+            band[i // BAND_ROWS] = mix(band[i // BAND_ROWS] ^ row) + _U(i)
         return pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id").cast(pa.int64()), pa.array(counts.astype(np.int64)),
-                pa.array(names.view(np.int64), mask=counts == 0), lists(band), lists(packed),
+                pa.array(names.view(np.int64), mask=counts == 0), _lists(band, counts > 0),
             ],
-            names=["doc_id", "n_shingles", "cls", "bands", "sig"],
+            names=["doc_id", "n_shingles", "cls", "bands"],
         )
 
     return map_slices(
-        docs.select("doc_id", "text"), sketched,
-        "doc_id long, n_shingles long, cls long, bands array<long>, sig array<long>",
+        docs.select("doc_id", "text"), sketched, "doc_id long, n_shingles long, cls long, bands array<long>"
     )
 
 
-def estimate(a: Column, b: Column, bands: int) -> Column:
+def signatures(texts: DataFrame) -> DataFrame:
+    """``cls, n_shingles, sig`` of ``texts(cls, text)``: low bits of minima, packed into longs."""
+    def signed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        values, counts, names, _ = _sets(batch.column("text"))
+        low = mix(_minima(values, counts, MINIMA, 2)) & _U(2**BITS - 1)
+        packed = np.zeros((MINIMA // PER_LONG, low.shape[1]), np.uint64)
+        for i, row in enumerate(low):
+            packed[i // PER_LONG] |= row << _U(BITS * (i % PER_LONG))
+        fine = (names.view(np.int64) == batch.column("cls").to_numpy()) & (counts > 0)
+        return pa.RecordBatch.from_arrays(
+            [batch.column("cls"), pa.array(counts.astype(np.int64)), _lists(packed, counts > 0)],
+            names=["cls", "n_shingles", "sig"],
+        ).filter(pa.array(fine))
+
+    return map_slices(texts, signed, "cls long, n_shingles long, sig array<long>")
+
+
+def estimate(a: Column, b: Column) -> Column:
     """Similarity from equal cells of two packed signatures, less those equal by chance."""
-    hashes = bands * BAND_ROWS
     ones = sum(1 << (BITS * i) for i in range(PER_LONG))
-    ones -= 1 << 64 if ones >= 1 << 63 else 0
     differ = F.lit(0)
-    for i in range(-(-hashes // PER_LONG)):
+    for i in range(MINIMA // PER_LONG):
         x = a.getItem(i).bitwiseXOR(b.getItem(i))
-        for shift in range(1, BITS):
-            part = F.shiftrightunsigned(a.getItem(i).bitwiseXOR(b.getItem(i)), shift)
-            x = x.bitwiseOR(part)
-        differ = differ + F.bit_count(x.bitwiseAND(F.lit(ones)))
+        differ = differ + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(ones)))
     chance = 2.0**-BITS
-    return ((F.lit(1.0) - differ / hashes) - chance) / (1 - chance)
+    return ((F.lit(1.0) - differ / MINIMA) - chance) / (1 - chance)
 
 
 def _close(a_n: Column, b_n: Column, percent: int) -> Column:
@@ -144,7 +154,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     are linked, and ``component_id`` is the smallest doc_id that links reach.
 
     Rows with equal sets are one class, found by a minimum per set, and only classes go on.
-    In each bucket of each band members are compared with three hubs, never with each other:
+    In each bucket of each band members are compared with two hubs, never with each other:
     what agrees is merged at once. Then the buckets that still hold two components or more
     are searched in full for pairs across components, with the packed signatures as part of
     the join's condition. So a link is missed only if no band agrees (one in a million at the
@@ -161,7 +171,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     rows = stored(sketch(docs, bands), "sketch")
     known = rows.where("n_shingles > 0")
     classes = stored(
-        known.select("cls", "n_shingles", "bands", "sig").dropDuplicates(["cls"])
+        known.select("cls", "bands").dropDuplicates(["cls"])
         .join(known.groupBy("cls").agg(F.min("doc_id").alias("doc_id")), "cls"),
         "classes",
     )
@@ -185,7 +195,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         .select("cls", "text").dropDuplicates(["cls", "text"]),
         "texts",
     )
-    marks = classes.select("cls", "n_shingles", "sig")
+    marks = stored(signatures(texts).dropDuplicates(["cls"]), "marks")
 
     def side(name: str) -> DataFrame:
         return marks.select(
@@ -198,7 +208,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         .select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
         .join(side("a"), "a").join(side("b"), "b")
         .where(_close(F.col("a_n"), F.col("b_n"), percent)
-               & (estimate(F.col("a_sig"), F.col("b_sig"), bands) >= threshold - 0.02))
+               & (estimate(F.col("a_sig"), F.col("b_sig")) >= threshold - 0.02))
         .select("a", "b")
     )
     found = stored(_confirmed(spokes, texts, percent), "found")
@@ -210,19 +220,21 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     still = labelled.groupBy("bucket").agg(
         F.min("label").alias("low"), F.max("label").alias("high")
     ).where("low <> high").select("bucket")
-    ahead = labelled.join(still, "bucket", "left_semi").join(marks, "cls")
-    ahead = stored(ahead.select("bucket", "label", "cls", "n_shingles", "sig"), "ahead")
+    ahead = labelled.join(still, "bucket", "left_semi").join(marks, "cls").join(classes.select("cls", "bands"), "cls")
+    ahead = stored(ahead.select("bucket", "label", "cls", "n_shingles", "sig", "bands"), "ahead")
     chance = threshold + (1 - threshold) / 2**BITS
-    slack = SIGMAS * math.sqrt(chance * (1 - chance) / (bands * BAND_ROWS)) / (1 - 2.0**-BITS)
+    slack = SIGMAS * math.sqrt(chance * (1 - chance) / MINIMA) / (1 - 2.0**-BITS)
     x, y = ahead.alias("x"), ahead.alias("y")
     across = (
         x.join(
             y,
             (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") < F.col("y.label"))
             & _close(F.col("x.n_shingles"), F.col("y.n_shingles"), percent)
-            & (estimate(F.col("x.sig"), F.col("y.sig"), bands) >= threshold - slack),
+            & (estimate(F.col("x.sig"), F.col("y.sig")) >= threshold - slack)
+            # Of the buckets that both are in, only the first gives the pair.
+            & (F.array_intersect(F.col("x.bands"), F.col("y.bands"))[0] == F.col("x.bucket")),
         )
-        .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
+        .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
     )
     rest = stored(_confirmed(across, texts, percent), "rest")
     if not rest.isEmpty():
