@@ -26,16 +26,26 @@ _BYTE = np.random.default_rng(12).integers(1, 2**63, 256, dtype=np.uint64)
 
 
 def _bare(gear: np.ndarray) -> list[int]:
-    """Cuts of a stretch without candidates: where its least hash recurs, ``STRIDE`` apart.
+    """Cuts of a stretch without candidates: where its least recurring hash is, ``STRIDE`` apart.
 
     In a run of one repeated word that is always at the same letter, so that equal runs get equal
-    chunks wherever they begin and however long they are.
+    chunks wherever they begin and however long they are. Without a recurring hash the least one
+    cuts. Parts that are still long are cut the same way.
     """
-    places = np.flatnonzero(gear[WINDOW:] == gear[WINDOW:].min()) + WINDOW
-    out, at = [], 0
-    while at < len(places):
-        out.append(int(places[at]))
-        at = int(np.searchsorted(places, places[at] + STRIDE))
+    out, todo = [], [(0, len(gear))]
+    while todo:
+        low, high = todo.pop()
+        inner = gear[low + WINDOW:high - 1]
+        values, counts = np.unique(inner, return_counts=True)
+        value = values[counts > 1].min() if (counts > 1).any() else values[0]
+        places = np.flatnonzero(inner == value) + low + WINDOW
+        ends, at = [low], 0
+        while at < len(places):
+            ends.append(int(places[at]))
+            at = int(np.searchsorted(places, places[at] + STRIDE))
+        out.extend(ends[1:])
+        ends.append(high)
+        todo.extend((x, y) for x, y in zip(ends, ends[1:]) if y - x > BARE)
     return out
 
 
@@ -145,8 +155,9 @@ def deduplicate(docs: DataFrame, found: DataFrame) -> DataFrame:
     cut = found.where("not kept").groupBy("doc_id").agg(
         F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_cut")
     )
-    joined = docs.join(cut, "doc_id", "left").select(*docs.columns, "_cut")
-    place = docs.columns.index("text")
+    names = docs.columns
+    joined = docs.join(cut, "doc_id", "left").select(*names, "_cut")
+    place = names.index("text")
 
     def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,8 +167,8 @@ def deduplicate(docs: DataFrame, found: DataFrame) -> DataFrame:
                     ends = [0, *(s["end"] for s in spans)]
                     begins = [*(s["start"] for s in spans), len(texts[i])]
                     texts[i] = "".join(texts[i][a:b] for a, b in zip(ends, begins))
-            columns = [batch.column(x) for x in docs.columns]
+            columns = [batch.column(x) for x in names]
             columns[place] = pa.array(texts, batch.column("text").type)
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return joined.mapInArrow(shorten, docs.schema)

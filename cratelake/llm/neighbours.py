@@ -235,6 +235,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, index: Index |
     length = F.size("embedding").alias("length")
     buckets = placed.where("tab = 0").select("tab", "bucket", length).distinct()
     every = short.select("query", "embedding", length).join(buckets, "length").select("tab", "bucket", "query", "embedding")
+    every = stored(every, "every")
     again = listed(_search(placed.where("tab = 0"), every, limit))
     again = again.join(short.select("query"), "query", "left_semi")
     kept = first.join(short.select("query"), "query", "left_anti")

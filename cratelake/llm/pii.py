@@ -128,23 +128,23 @@ def _spans(kind: str, hits: Column, text: Column) -> Column:
     return F.when(F.size(hits) > 0, scored).otherwise(F.expr(f"cast(array() as {_SPAN})"))
 
 
-def find(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``spans``: kind, first character, end and score of all personal data in ``text``.
+def find(docs: DataFrame, name: str = "spans") -> DataFrame:
+    """``docs`` with a column ``name``: kind, first character, end and score of all personal data in ``text``.
 
     Spans come by kind (email, ip, card, phone, iban, ssn), then by start. Hits of one kind do not
     overlap, those of different kinds may. A hit that fails its check is dropped and not tried again.
     The first four kinds stay whatever their score; the others need a checksum or a word nearby.
     Null and empty texts have no span. Rows and other columns stay as they are; only a column
-    named ``spans`` is replaced.
+    of that ``name`` is replaced.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     kinds = [*BASE, *ADDED]
     hits = docs.select(
-        *[F.col(f"`{c}`") for c in docs.columns if c != "spans"],
+        *[F.col(f"`{c}`") for c in docs.columns if c != name],
         *[F.regexp_extract_all(text, F.lit(_PATTERNS[k]), F.lit(0)).alias(f"_hits_{k}") for k in kinds],
     )
     spans = F.concat(*[_spans(k, F.col(f"_hits_{k}"), text) for k in kinds])
-    return hits.withColumn("spans", spans).drop(*[f"_hits_{k}" for k in kinds])
+    return hits.withColumn(name, spans).drop(*[f"_hits_{k}" for k in kinds])
 
 
 def listed(spans: Column) -> Column:
@@ -169,8 +169,8 @@ def mask(docs: DataFrame) -> DataFrame:
     Of spans that overlap the one that begins first, or is longer, counts, and the others are
     covered by it. Null texts stay null.
     """
-    found = find(docs)
-    order = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"], (-s["end"]).alias("turn"), s["end"], s["kind"])))
+    found = find(docs, "_spans")
+    order = F.array_sort(F.transform("_spans", lambda s: F.struct(s["start"], (-s["end"]).alias("turn"), s["end"], s["kind"])))
     cut = F.aggregate(
         order,
         F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts")),
@@ -186,7 +186,7 @@ def mask(docs: DataFrame) -> DataFrame:
             ).alias("parts"),
         )),
     )
-    masked = found.withColumn("_cut", F.when(F.size("spans") > 0, cut))
+    masked = found.withColumn("_cut", F.when(F.size("_spans") > 0, cut))
     text = F.when(
         F.col("_cut").isNotNull(),
         F.concat(
