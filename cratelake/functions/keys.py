@@ -30,8 +30,9 @@ def archive_key(key: Column) -> Column:
 
 
 def url_decoded(key: Column) -> Column:
-    """Percent-decoding that leaves ``+`` and undecodable text alone."""
-    return F.coalesce(F.try_url_decode(F.replace(key, F.lit("+"), F.lit("%2B"))), key)
+    """Percent-decoding that leaves ``+`` and every stray ``%`` alone."""
+    plain = F.regexp_replace(F.replace(key, F.lit("+"), F.lit("%2B")), "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.coalesce(F.try_url_decode(plain), key)
 
 
 def silver_key(date: Column, key: Column) -> Column:

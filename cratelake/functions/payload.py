@@ -16,10 +16,20 @@ def record_json(fields: list[str] = CRATE_FIELDS) -> Column:
 
 
 def record_of(body: Column) -> Column:
-    """Lenient parse: fields the body lacks are null."""
+    """Lenient parse: fields the body lacks are null; of a repeated field the last value counts."""
     return F.from_json(body, CRATE_SCHEMA)
 
 
+def readable(body: Column) -> Column:
+    """Whether the body is a JSON object, as a record must be."""
+    return F.json_object_keys(body).isNotNull()
+
+
+def view_of(body: Column, fields: list[str]) -> Column:
+    """The named fields as a struct, by the same rule."""
+    return F.from_json(body, ", ".join(f"`{name}` string" for name in fields))
+
+
 def fields_of(body: Column) -> Column:
     """All fields as a map, so that a missing field differs from a null one."""
     return F.from_json(body, "map<string,string>")

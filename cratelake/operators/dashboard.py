@@ -84,7 +84,5 @@ def series_max(series: DataFrame, value: str = "n") -> DataFrame:
 
 def category_share(df: DataFrame, category: str) -> DataFrame:
     """Rows per category and their share of all rows."""
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return df.groupBy(category).agg(F.count(F.lit(1)).alias("n")).withColumn(
-        "share", F.col("n") / total
-    )
+    counts = df.groupBy(category).agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("share", F.col("n") / counts.agg(F.sum("n")).scalar())

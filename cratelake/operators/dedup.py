@@ -38,13 +38,14 @@ def accepted_messages(
 ) -> DataFrame:
     """``(key, ts, tie)`` of the accepted messages. Equal times are ordered by ``tie``.
 
-    None of the three may be null; ``tie`` identifies a message.
+    ``tie`` identifies a message. A message without content, time or ``tie`` cannot be ordered
+    and is not accepted, here and in streams alike; ``incomplete`` gives these.
     """
     if interval <= dt.timedelta(0):
         raise ValueError("interval must be positive")
     rows = messages.select(
         F.col(key).alias("key"), F.col(ts).alias("ts"), F.col(tie).alias("tie")
-    )
+    ).dropna()
     # Counting by a 64-bit hash moves little; a collision only sends a short content the
     # long way, which is exact too.
     hashed = F.xxhash64("key")
@@ -66,6 +67,11 @@ def accepted_messages(
     )
 
 
+def incomplete(messages: DataFrame, *, key: str, ts: str, tie: str) -> DataFrame:
+    """Messages that deduplication leaves out because one of the three is null."""
+    return messages.where(F.col(key).isNull() | F.col(ts).isNull() | F.col(tie).isNull())
+
+
 def deduplicate(
     messages: DataFrame, interval: dt.timedelta, *, key: str, ts: str, tie: str, **options: int
 ) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cratelake.functions.payload import fields_of
+from cratelake.functions.payload import view_of
 from cratelake.functions.text import quantity_value
 from cratelake.model import (
     CRATE_FIELDS, DATE_FIELDS, FORM_NAMES, QUEUE_VIEW_FIELDS, TIME_FIELDS,
@@ -22,20 +22,19 @@ def result_as_text(df: DataFrame) -> DataFrame:
 
 
 def _strict(messages: DataFrame, required: list[str]) -> tuple[DataFrame, Column]:
-    parsed = messages.withColumn("_fields", fields_of(F.col("body")))
     absent = F.array_except(
         F.array(*[F.lit(name) for name in required]),
-        F.coalesce(F.map_keys("_fields"), F.array().cast("array<string>")),
+        F.coalesce(F.json_object_keys("body"), F.array().cast("array<string>")),
     )
-    return parsed, absent
+    return messages, absent
 
 
 def inprogress_view(messages: DataFrame) -> DataFrame:
     """Queue view of the messages that have every field it shows (null values count)."""
     parsed, absent = _strict(messages, QUEUE_VIEW_FIELDS)
     return parsed.where(F.size(absent) == 0).select(
-        "message_id", *[F.col("_fields")[name].alias(name) for name in QUEUE_VIEW_FIELDS]
-    )
+        "message_id", view_of(F.col("body"), QUEUE_VIEW_FIELDS).alias("_record")
+    ).select("message_id", *[F.col(f"_record.{name}").alias(name) for name in QUEUE_VIEW_FIELDS])
 
 
 def inprogress_rejects(messages: DataFrame) -> DataFrame:

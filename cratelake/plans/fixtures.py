@@ -10,11 +10,11 @@ from cratelake.functions.text import quantity_text, zero_padded
 from cratelake.model import CRATE_FIELDS
 from cratelake.sources.messages import as_messages
 
-# The domains of the free-text fields.
-CONTENTS = ["Canned Goods, Pasta", "Dairy Products", "Fruits and Vegetables"]
-NOTES = ["Handle with care", "Fragile", "Check for the expiration date"]
-HANDLING = ["Store in a cool place", "Handle with care"]
-TRANSPORT = ["Truck - Refrigerated", "Ship - Dry Cargo"]
+# Own words for the free-text fields; one holds a comma.
+CONTENTS = ["Paper, Card", "Copper wire", "Glass jars"]
+NOTES = ["Leave upright", "Two labels", "Count on arrival"]
+HANDLING = ["Keep dry", "Leave upright"]
+TRANSPORT = ["Rail, Closed", "Barge"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -27,20 +27,20 @@ crates AS (
     '08:30:00' AS delivery_time,
     CAST(CAST(o_orderdate AS DATE) + 7 AS VARCHAR) AS return_date,
     '17:15' AS return_time,
-    CASE o_orderkey % 3 WHEN 0 THEN 'Canned Goods, Pasta' WHEN 1 THEN 'Dairy Products'
-      ELSE 'Fruits and Vegetables' END AS contents,
+    CASE o_orderkey % 3 WHEN 0 THEN 'Paper, Card' WHEN 1 THEN 'Copper wire'
+      ELSE 'Glass jars' END AS contents,
     'ORD' || lpad(CAST(o_orderkey % 100 + 1 AS VARCHAR), 3, '0') AS batch_order_number,
-    CASE o_orderkey % 2 WHEN 0 THEN 'Truck - Refrigerated' ELSE 'Ship - Dry Cargo' END
+    CASE o_orderkey % 2 WHEN 0 THEN 'Rail, Closed' ELSE 'Barge' END
       AS transportation_details,
     CASE o_orderstatus WHEN 'F' THEN 'Returned' WHEN 'O' THEN 'In Transit'
       WHEN 'P' THEN 'Delivered' END AS return_status,
     CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS qr_code_generation_date,
-    CASE o_orderkey % 3 WHEN 0 THEN 'Handle with care' WHEN 1 THEN 'Fragile'
-      ELSE 'Check for the expiration date' END AS additional_notes,
+    CASE o_orderkey % 3 WHEN 0 THEN 'Leave upright' WHEN 1 THEN 'Two labels'
+      ELSE 'Count on arrival' END AS additional_notes,
     CAST(CAST(o_orderkey % 1000 / 100.0 AS DECIMAL(6,2)) AS VARCHAR) || ' C' AS temperature,
     CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) || ' kg' AS weight,
     CAST(CAST(o_orderdate AS DATE) + 7 AS VARCHAR) AS expiration_date,
-    CASE o_orderkey % 2 WHEN 0 THEN 'Store in a cool place' ELSE 'Handle with care' END
+    CASE o_orderkey % 2 WHEN 0 THEN 'Keep dry' ELSE 'Leave upright' END
       AS handling_instructions,
     CASE o_orderstatus WHEN 'F' THEN 'Delivered' ELSE 'In Transit' END AS shipment_status,
     c_mktsegment AS company_name,
@@ -244,6 +244,16 @@ ORACLES: dict[str, str] = {
     "validate_accept": f"WITH {CRATES}, {_FAULTY} SELECT {_FIELDS} FROM judged WHERE reason = ''",
     "validate_reject": f"WITH {CRATES}, {_FAULTY} SELECT crate_id, reason FROM judged WHERE reason <> ''",
     "pending": _PENDING,
+    "route_rejects": """
+        SELECT CASE event_id % 5 WHEN 1 THEN 'raw/' || event_id || '.csv' END AS object_key,
+          CASE event_id % 5 WHEN 1 THEN 'no event time' ELSE 'no object' END AS reason, count(*) AS n
+        FROM events WHERE event_id % 5 IN (1, 2, 3) GROUP BY 1, 2""",
+    "scan_rejects": """
+        WITH m AS (SELECT CAST(o_orderkey AS VARCHAR) AS message_id,
+          o_orderkey % 11 = 0 OR o_orderkey % 7 = 0 AS bad FROM orders)
+        SELECT message_id, 'rejected' AS state FROM m WHERE bad
+        UNION ALL SELECT message_id, 'acknowledged' FROM m WHERE NOT bad
+        UNION ALL SELECT message_id, 'landed' FROM m WHERE NOT bad""",
     "pending_after_scan": f"""
         WITH {_ACKS} SELECT CAST(o_orderkey AS VARCHAR) AS message_id,
           CASE WHEN CAST(o_orderkey AS VARCHAR) IN (SELECT message_id FROM acks) THEN 'landed'

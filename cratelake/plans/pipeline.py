@@ -18,7 +18,7 @@ class CrateLake:
         self.spark = spark
         self.threshold = threshold
         self._root = root.rstrip("/")
-        for zone in ("queue", "acks", "raw", "unprocessed", "cleared", "gold"):
+        for zone in ("queue", "acks", "rejects", "raw", "unprocessed", "cleared", "gold"):
             files.ensure_folder(spark, self._at(zone))
 
     def _at(self, name: str) -> str:
@@ -39,9 +39,13 @@ class CrateLake:
         """Land and acknowledge what the queue has received since the last scan."""
         flows.scan_messages(
             messages.stream_messages(self.spark, self._at("queue")),
-            self._at("raw"), self._at("acks"), self._at("checkpoints/scan"),
+            self._at("raw"), self._at("acks"), self._at("checkpoints/scan"), self._at("rejects"),
         )
 
+    def rejected(self) -> DataFrame:
+        """Messages a scan could not read; they stay pending."""
+        return flows.read_rejects(self.spark, self._at("rejects"))
+
     def route(self, arrival: Column | None = None) -> None:
         """Move landed records to their arrival date."""
         flows.route_files(

@@ -77,6 +77,42 @@ def silver_route(spark, sf_dir):
     return events.route_objects(_object_events(spark, sf_dir))
 
 
+def _odd_events(spark, sf_dir):
+    """Object events as they come, some of them broken in a way of their own."""
+    n, event = F.col("event_id") % 5, F.col("event")
+    return fixtures.table(spark, sf_dir, "events").select(
+        "event_id",
+        F.to_json(F.struct(F.array(F.struct(
+            F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.when(F.col("event_id") % 5 == 1, "Z").otherwise(".000000Z")).alias("eventTime"),
+            F.struct(F.struct(F.concat(F.lit("raw/"), F.col("event_id").cast("string"), F.lit(".csv")).alias("key")).alias("object")).alias("s3"),
+        )).alias("Records"))).alias("event"),
+    ).select(
+        "event_id", F.when(n == 2, F.lit('{"Records": []}')).when(n == 3, F.lit("{broken")).otherwise(event).alias("event")
+    )
+
+
+def route_rejects(spark, sf_dir):
+    return events.route_rejects(_odd_events(spark, sf_dir)).groupBy("object_key", "reason").count().withColumnRenamed(
+        "count", "n"
+    )
+
+
+def scan_rejects(spark, sf_dir):
+    """Scans a queue of which every seventh body is cut short and every eleventh null."""
+    queue_path = shared_path(spark, "odd-queue")
+    seq, body = F.col("seq"), F.col("body")
+    odd = F.when(seq % 11 == 0, F.lit(None)).when(seq % 7 == 0, F.substring(body, 1, 20)).otherwise(body)
+    messages.send_messages(fixtures.messages(spark, sf_dir).withColumn("body", odd), queue_path)
+    raw, acked, refused = (shared_path(spark, x) for x in ("odd-raw", "odd-acks", "odd-rejects"))
+    flows.scan_messages(
+        messages.stream_messages(spark, queue_path), raw, acked, shared_path(spark, "odd-checkpoint"), refused
+    )
+    state = lambda df, name: df.select("message_id", F.lit(name).alias("state"))
+    return state(flows.read_rejects(spark, refused), "rejected").unionByName(
+        state(flows.read_acks(spark, acked), "acknowledged")
+    ).unionByName(state(csvfiles.read_crate_csv(spark, raw).withColumnRenamed("crate_id", "message_id"), "landed"))
+
+
 def silver_route_stream(spark, sf_dir):
     silver = shared_path(spark, "routed")
     flows.route_files(
@@ -446,7 +482,7 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         src_messages, sink_messages, sink_bronze_csv, bronze_key, silver_route,
-        silver_route_stream, list_files, scan_silver_csv, gold_write, gold_partitions,
+        silver_route_stream, route_rejects, scan_rejects, list_files, scan_silver_csv, gold_write, gold_partitions,
         gold_incremental, schema_report, notify_scanned, notify_arrival, canonical_record,
         label_payload_full, label_payload_scan, inprogress_view, inprogress_rejects,
         track_delivered, track_delivered_gold, result_as_text, validate_accept,

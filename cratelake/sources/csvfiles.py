@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cratelake.model import ARRIVAL_DATE, CRATE_FIELDS, CRATE_SCHEMA, DECLARED_DATE
+from cratelake.sources.files import MAX_FILE_AGE
 
 # Quotes are doubled, fields keep outer blanks and may hold line breaks.
 WRITE_OPTIONS = {
@@ -37,12 +38,12 @@ def read_crate_csv(
 
 def stream_crate_csv(
     spark: SparkSession, path: str, schema: T.StructType = CRATE_SCHEMA,
-    max_files: int = 1000, archive: str | None = None,
+    max_files: int = 1000, archive: str | None = None, max_age: str = MAX_FILE_AGE,
 ) -> DataFrame:
-    """Each file once. ``archive`` moves consumed files there, one batch behind."""
+    """Each file once, however old. ``archive`` moves consumed files there, one batch behind."""
     reader = (
         spark.readStream.schema(schema).options(**READ_OPTIONS)
-        .option("maxFilesPerTrigger", max_files)
+        .option("maxFilesPerTrigger", max_files).option("maxFileAge", max_age)
     )
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)

@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# A file stream forgets files this much older than its newest. Spark's own week would drop files
+# that keep their change time when they are moved or restored.
+MAX_FILE_AGE = "36500d"
+
+
 def _path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cratelake.functions.payload import record_json, record_of
 from cratelake.model import CRATE_FIELDS, MESSAGE_SCHEMA
+from cratelake.sources.files import MAX_FILE_AGE
 
 _TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
@@ -30,9 +31,11 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MESSAGE_SCHEMA).options(**_TIMES).json(path)
 
 
-def stream_messages(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
+def stream_messages(
+    spark: SparkSession, path: str, max_files: int = 1000, max_age: str = MAX_FILE_AGE
+) -> DataFrame:
     return (
-        spark.readStream.schema(MESSAGE_SCHEMA).options(**_TIMES)
+        spark.readStream.schema(MESSAGE_SCHEMA).options(**_TIMES).option("maxFileAge", max_age)
         .option("maxFilesPerTrigger", max_files).json(path)
     )
 

@@ -38,7 +38,7 @@ def deduplicate_stream(
     step = int(interval.total_seconds() * 1_000_000)
     rows = messages.select(
         F.col(key).alias("key"), F.col(ts).cast("timestamp").alias("ts"), F.col(tie).alias("tie")
-    )
+    ).dropna().withColumn("us", F.unix_micros("ts"))
     timeout = GroupStateTimeout.NoTimeout
     if lateness is not None:
         rows = rows.withWatermark("ts", f"{int(lateness.total_seconds())} seconds")
@@ -52,7 +52,7 @@ def deduplicate_stream(
             return
         first, *more = parts
         arrived = pd.concat([first, *more], ignore_index=True) if more else first
-        micros = arrived["ts"].to_numpy().astype("datetime64[us]").astype(np.int64)
+        micros = arrived["us"].to_numpy()  # times as the session shows them may repeat an hour
         order = np.lexsort((arrived["tie"].to_numpy(), micros))
         micros = micros[order]
         due = state.get[0] + step if state.exists else micros[0]

@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cratelake.functions.payload import record_of
-from cratelake.model import ARRIVAL_DATE, CRATE_FIELDS, DECLARED_DATE, LANDED_SCHEMA
+from cratelake.functions.payload import readable, record_of
+from cratelake.model import (
+    ARRIVAL_DATE, CRATE_FIELDS, DECLARED_DATE, LANDED_SCHEMA, MESSAGE_SCHEMA,
+)
 from cratelake.operators.batches import full_batches
 from cratelake.operators.numbering import with_position
 from cratelake.sources.csvfiles import (
@@ -30,19 +32,36 @@ def _by_date(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", ARRIVAL_DATE)
 
 
+def _seed(spark: SparkSession, path: str, fields: str) -> None:
+    """An empty part of a batched folder, so that it can be read before the first batch."""
+    first = f"{path}/batch=-1"
+    if not _written(spark, first):
+        spark.createDataFrame([], fields.replace(":", " ")).write.mode("overwrite").parquet(first)
+
+
 def _written(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/_SUCCESS")
 
 
 def scan_messages(
-    messages: DataFrame, raw: str, acks: str, checkpoint: str
+    messages: DataFrame, raw: str, acks: str, checkpoint: str, rejects: str | None = None
 ) -> None:
     """Land each message's record, then acknowledge the message.
 
-    A micro-batch that is run again leaves alone what its first run completed.
+    A message whose body is no JSON object is neither landed nor acknowledged; it goes to the
+    folder ``rejects`` (by default beside ``acks``) with its body. A micro-batch that is run again
+    leaves alone what its first run completed.
     """
+    rejects = rejects or f"{acks}-rejects"
+
     def scan(batch: DataFrame, batch_id: int) -> None:
         landing, acked = f"{raw}/batch={batch_id}", f"{acks}/batch={batch_id}"
+        refused = f"{rejects}/batch={batch_id}"
+        if not _written(batch.sparkSession, refused):
+            batch.where(~readable(F.col("body"))).select("message_id", "sent_ts", "seq", "body").write.mode(
+                "overwrite"
+            ).parquet(refused)
+        batch = batch.where(readable(F.col("body")))
         if not _written(batch.sparkSession, landing):
             record = batch.select(record_of(F.col("body")).alias("r")).select("r.*")
             write_raw(record, landing, mode="overwrite")
@@ -55,6 +74,11 @@ def scan_messages(
     )
 
 
+def read_rejects(spark: SparkSession, rejects: str) -> DataFrame:
+    """Messages that could not be read, as they came."""
+    return spark.read.schema(MESSAGE_SCHEMA).option("recursiveFileLookup", "true").parquet(rejects)
+
+
 def read_acks(spark: SparkSession, acks: str) -> DataFrame:
     return spark.read.schema("message_id STRING").option("recursiveFileLookup", "true").parquet(acks)
 
@@ -102,6 +126,9 @@ def number_arrivals(
     A micro-batch is numbered in parallel and written to a folder of its own together with
     the total so far, which is all the next one reads. Running it again rewrites the same.
     """
+    _seed(arrivals.sparkSession, f"{path}/arrivals", arrivals.schema.simpleString()[7:-1] + ",arrival_no:bigint")
+    _seed(arrivals.sparkSession, f"{path}/totals", "total:bigint")
+
     def number(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before = 0
@@ -126,7 +153,7 @@ def number_arrivals(
 def fired_batches(spark: SparkSession, path: str, threshold: int = 10) -> DataFrame:
     """The numbered arrivals whose batch has fired."""
     numbered = spark.read.parquet(f"{path}/arrivals").drop("batch")
-    total = spark.read.parquet(f"{path}/totals").agg(F.max("total")).scalar()
+    total = spark.read.parquet(f"{path}/totals").agg(F.coalesce(F.max("total"), F.lit(0))).scalar()
     return full_batches(numbered, total, threshold)
 
 
