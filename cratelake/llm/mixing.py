@@ -16,6 +16,7 @@ CAP = 2
 
 SYMBOLS = "#*$%&|<>"
 LEAST_QUALITY = 0.05
+FEW_SOURCES = 10_000  # up to so many, counted first, sources are broadcast to the documents
 SEED = "mix"
 
 
@@ -111,6 +112,8 @@ def mix(docs: DataFrame) -> DataFrame:
 def draw(docs: DataFrame) -> DataFrame:
     """The mix itself: rows of ``docs`` as often as it takes them, whole, all columns kept.
 
+    Sources are counted first. Few are broadcast; many are joined by a shuffle, with the same rows.
+
     The document at which a source's target falls is taken once more if that leaves the source nearer
     to its target. Documents are not moved: each source's last key is found on narrow rows, and a
     document's key is worked out again and compared with it. Rows equal in id and text go together.
@@ -123,6 +126,8 @@ def draw(docs: DataFrame) -> DataFrame:
     plan = sources.join(last, "source_rank", "left").select(
         F.col("source").alias("_source"), _epochs()[0].alias("_whole"), "_last"
     )
+    if sources.limit(FEW_SOURCES + 1).count() <= FEW_SOURCES:
+        plan = F.broadcast(plan)
     size = size_of(F.col("text"))
     copies = F.col("_whole") + F.when(
         key_of(F.col("doc_id"), quality_of(F.col("text"), size)) <= F.col("_last"), 1
