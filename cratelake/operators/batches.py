@@ -25,5 +25,5 @@ def full_batches(numbered: DataFrame, total: int | Column, threshold: int = 10)
 def count_batches(arrivals: DataFrame, *order: str, threshold: int = 10) -> DataFrame:
     """Every arrival of a fired batch with its number and batch, in ``order``."""
     numbered = with_position(arrivals, *order, name="arrival_no")
-    total = arrivals.agg(F.count(F.lit(1))).scalar()
+    total = numbered.agg(F.coalesce(F.max("arrival_no"), F.lit(0))).scalar()
     return full_batches(numbered, total, threshold)

@@ -2,22 +2,26 @@
 dropped; once the interval has passed it is accepted again.
 
 Whether a message counts depends on the last accepted one, so the rule is a fold in time
-order. Contents with few messages are folded one group each. A content with very many, which
-may be a large part of the table, is never gathered: each of its messages gets a pointer to
-the message accepted next if it is accepted itself, and doubling the pointers reaches all
-accepted messages in about log2(time span / interval) joins.
+order. Contents are sorted and folded as they stream by, with nothing kept but the last accepted
+time. A content with very many messages, which may be a large part of the table, is not left to
+one task: each of its messages gets a pointer to the message accepted next if it is accepted
+itself, and doubling the pointers reaches all accepted messages in about
+log2(time span / interval) joins.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cratelake.session import cut
+from cratelake.session import cut, stored
 
-GROUP_ROWS = 4096       # messages of one content that a single task may fold
+GROUP_ROWS = 1_000_000  # messages of one content that a single task may fold
 BROADCAST_KEYS = 10_000  # long contents up to this many are broadcast to split them off
 TICKS = 16              # time slices per interval in which the next message is looked up
 
@@ -43,9 +47,9 @@ def accepted_messages(
     """
     if interval <= dt.timedelta(0):
         raise ValueError("interval must be positive")
-    rows = messages.select(
+    rows = stored(messages.select(
         F.col(key).alias("key"), F.col(ts).alias("ts"), F.col(tie).alias("tie")
-    ).dropna()
+    ).dropna(), "messages")
     # Counting by a 64-bit hash moves little; a collision only sends a short content the
     # long way, which is exact too.
     hashed = F.xxhash64("key")
@@ -55,13 +59,13 @@ def accepted_messages(
     )
     found = long_keys.limit(BROADCAST_KEYS + 1).count()
     if found == 0:
-        kept = _fold_groups(rows, interval)
+        kept = _fold_sorted(rows, interval)
     else:
         listed = F.broadcast(long_keys) if found <= BROADCAST_KEYS else long_keys
         marked = rows.withColumn("hash", hashed)
         short = marked.join(listed, "hash", "left_anti").drop("hash")
         long = marked.join(listed, "hash", "left_semi").drop("hash")
-        kept = _fold_groups(short, interval).unionByName(_fold_long(long, interval))
+        kept = _fold_sorted(short, interval).unionByName(_fold_long(long, interval))
     return kept.select(
         F.col("key").alias(key), F.col("ts").alias(ts), F.col("tie").alias(tie)
     )
@@ -80,23 +84,46 @@ def deduplicate(
     return messages.join(kept.select(tie), tie, "left_semi")
 
 
-def _fold_groups(rows: DataFrame, interval: dt.timedelta) -> DataFrame:
-    """Fold of groups small enough for one task."""
-    message = "struct<ts: {0}, tie: {1}>".format(
-        rows.schema["ts"].dataType.simpleString(), rows.schema["tie"].dataType.simpleString()
-    )
-    ordered = F.sort_array(F.collect_list(F.struct("ts", "tie")))
-
-    def step(kept: Column, m: Column) -> Column:
-        last = F.try_element_at(kept, F.lit(-1))["ts"]
-        due = last.isNull() | (m["ts"] >= last + span(interval))
-        return F.when(due, F.concat(kept, F.array(m))).otherwise(kept)
+def _fold_sorted(rows: DataFrame, interval: dt.timedelta) -> DataFrame:
+    """Fold of contents that are sorted into one task each, an Arrow batch at a time."""
+    step = interval // dt.timedelta(microseconds=1)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, due = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names, times = batch.column("key"), batch.column("ts")
+            if not pa.types.is_timestamp(times.type):
+                times = times.cast(pa.timestamp("us"))
+            first = np.ones(batch.num_rows, bool)
+            first[0] = last is None or names[0] != last
+            first[1:] = names[1:].to_numpy(zero_copy_only=False) != names[:-1].to_numpy(zero_copy_only=False)
+            last = names[-1]
+            kept = []
+            for at, (new, micros) in enumerate(zip(first.tolist(), times.cast(pa.int64()).to_pylist())):
+                if new or micros >= due:
+                    kept.append(at)
+                    due = micros + step
+            yield batch.take(pa.array(kept, pa.int64()))
+
+    return rows.repartition("key").sortWithinPartitions("key", "ts", "tie").mapInArrow(fold, rows.schema)
+
+
+def accepted_after(
+    messages: DataFrame, earlier: DataFrame, interval: dt.timedelta,
+    *, key: str, ts: str, tie: str, **options: int,
+) -> DataFrame:
+    """``(key, ts, tie)`` of ``messages`` accepted when the messages ``earlier`` were accepted before.
 
-    folded = F.aggregate("messages", F.array().cast(f"array<{message}>"), step)
-    return (
-        rows.groupBy("key").agg(ordered.alias("messages"))
-        .select("key", F.inline(folded))
+    Arrival counts: a message less than the interval after the last one accepted of its content is
+    dropped, also if its time lies before that one.
+    """
+    last = earlier.groupBy(F.col(key)).agg(F.max(ts).alias("_last"))
+    fresh = messages.select(key, ts, tie).join(last, key, "left").where(
+        F.col("_last").isNull() | (F.col(ts) >= F.col("_last") + span(interval))
     )
+    return accepted_messages(fresh, interval, key=key, ts=ts, tie=tie, **options)
 
 
 def _next_pointers(base: DataFrame, interval: dt.timedelta) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cratelake.session import cut
+from cratelake.session import stored
 
 _ROW_BITS = 33  # of monotonically_increasing_id: the row within its partition
 
@@ -22,19 +22,20 @@ def with_position(
     """
     slot = F.col("_slot")
     part = F.shiftright(slot, _ROW_BITS).alias("_part")
-    stored = cut(
+    numbered = stored(
         df.orderBy(*order).select(
             *(keep or df.columns), F.monotonically_increasing_id().alias("_slot")
-        )
+        ),
+        "sorted",
     )
-    sizes = stored.groupBy(part).agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = numbered.groupBy(part).agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
     )
     row = slot.bitwiseAND((1 << _ROW_BITS) - 1)
     return (
-        stored.withColumn("_part", part)
+        numbered.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
         .withColumn(name, F.col("_before") + row + 1)
         .drop("_part", "_before", "_slot")

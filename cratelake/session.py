@@ -49,6 +49,13 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and go on from the file, read as often as needed."""
+    path = shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Store ``df`` reliably and go on from the stored rows."""
     shared_root(df.sparkSession)

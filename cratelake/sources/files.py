@@ -28,6 +28,18 @@ def ensure_folder(spark: SparkSession, path: str) -> str:
     return path
 
 
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match ``pattern``; for folders whose number is bounded, not for data files."""
+    hadoop_path, fs = _path(spark, pattern)
+    return [status.getPath().toString() for status in fs.globStatus(hadoop_path) or []]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of our own; nothing happens if it is gone."""
+    hadoop_path, fs = _path(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def list_files(spark: SparkSession, path: str, suffix: str = ".csv") -> DataFrame:
     """URI, size and change time of every file below ``path`` with that suffix.
 

@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from cratelake.operators.dedup import accepted_messages, span
+from cratelake.operators.dedup import accepted_after
+from cratelake.sources.files import delete, folders
+
+BUCKETS = 256  # parts of the state; a micro-batch rewrites those its contents fall into
 
 
 def deduplicate_stream(
@@ -97,38 +100,48 @@ def deduplicate_batches(
     """The same for large micro-batches, which may hold one content very often.
 
     Each micro-batch is stored, stripped of what the last accepted messages rule out, and
-    folded like a table; it then leaves the last accepted time of each content to the next
-    one, or with ``lateness`` only the times that can still matter. Every step writes a
-    folder of the micro-batch's own, so running it again changes nothing.
+    folded like a table. The last accepted time of each content is kept in ``BUCKETS`` parts by
+    hash; a micro-batch reads and rewrites the parts its contents fall into, with ``lateness``
+    leaving out times that can no longer matter. Every step writes a folder of the
+    micro-batch's own, so running it again changes nothing. What no later run can ask for is removed.
 
-    The rows are stored first because they are read several times.
+    The rows are stored first because they are read several times. A message later than
+    ``lateness`` is not lost here; at worst it is accepted again.
     """
     spark = messages.sparkSession
+    bucket = F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int")
+    if not folders(spark, f"{path}/accepted"):
+        empty = spark.createDataFrame([], messages.select(key, ts, tie).schema)
+        _store(spark, empty, f"{path}/accepted/batch=-1")
 
     def accept(batch: DataFrame, batch_id: int) -> None:
-        stored = _store(spark, batch.select(
+        arrived = _store(spark, batch.select(
             F.col(key).alias("key"), F.col(ts).alias("ts"), F.col(tie).alias("tie")
-        ), f"{path}/arrived/batch={batch_id}")
-        known = None
-        fresh = stored
-        if batch_id > 0:
-            known = spark.read.parquet(f"{path}/last/batch={batch_id - 1}")
-            fresh = stored.join(known, "key", "left").where(
-                F.col("last").isNull() | (F.col("ts") >= F.col("last") + span(interval))
-            )
-        kept = accepted_messages(fresh, interval, key="key", ts="ts", tie="tie", **options)
+        ).dropna(), f"{path}/arrived/batch={batch_id}")
+        versions = _versions(spark, path, batch_id)
+        touched = [r[0] for r in arrived.select(bucket).distinct().collect()]  # BUCKETS at most
+        known = arrived.select("key", "ts").limit(0)
+        parts = [f"{path}/last/batch={max(versions[b])}/bucket={b}" for b in touched if b in versions]
+        if parts:
+            known = spark.read.schema(known.schema).parquet(*parts)
+        kept = accepted_after(arrived, known, interval, key="key", ts="ts", tie="tie", **options)
         accepted = _store(spark, kept.select(
             F.col("key").alias(key), F.col("ts").alias(ts), F.col("tie").alias(tie)
         ), f"{path}/accepted/batch={batch_id}")
-        last = accepted.select(F.col(key).alias("key"), F.col(ts).alias("last"))
-        if known is not None:
-            last = last.unionByName(known)
-        last = last.groupBy("key").agg(F.max("last").alias("last"))
+        last = accepted.select(F.col(key).alias("key"), F.col(ts).alias("ts")).unionByName(known)
+        last = last.groupBy("key").agg(F.max("ts").alias("ts"))
         if lateness is not None:
-            newest = stored.agg(F.max("ts")).first()[0]
+            newest = arrived.agg(F.max("ts")).first()[0]
             if newest is not None:
-                last = last.where(F.col("last") > F.lit(newest - interval - lateness))
-        _store(spark, last, f"{path}/last/batch={batch_id}")
+                last = last.where(F.col("ts") > F.lit(newest - interval - lateness))
+        last.withColumn("bucket", bucket).hint("rebalance", "bucket").write.mode("overwrite").partitionBy(
+            "bucket"
+        ).parquet(f"{path}/last/batch={batch_id}")
+        # If this micro-batch runs again it needs the newest part before its own, but no older one.
+        for b, found in versions.items():
+            for old in found - {max(found)}:
+                delete(spark, f"{path}/last/batch={old}/bucket={b}")
+        delete(spark, f"{path}/arrived/batch={batch_id - 1}")
 
     messages.writeStream.foreachBatch(accept).option("checkpointLocation", checkpoint).trigger(
         availableNow=True
@@ -139,6 +152,16 @@ def read_accepted(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/accepted").drop("batch")
 
 
+def _versions(spark: SparkSession, path: str, batch_id: int) -> dict[int, set[int]]:
+    """The earlier micro-batches that wrote each part of the state; two of a part at most remain."""
+    found: dict[int, set[int]] = {}
+    for folder in folders(spark, f"{path}/last/batch=*/bucket=*"):
+        wrote, part = (int(name.split("=")[1]) for name in folder.split("/")[-2:])
+        if wrote < batch_id:
+            found.setdefault(part, set()).add(wrote)
+    return found
+
+
 def _store(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -171,3 +171,39 @@ def test_gate_runs_only_above_the_threshold(spark):
         )
         assert due == (n == 11)
     assert calls == ["job", "clear"]
+
+
+@pytest.mark.parametrize("rows_per_batch", [1, 7])
+def test_fold_goes_on_across_arrow_batches(spark, rows_per_batch):
+    rows = make(8, 500, 3_600)
+    interval = dt.timedelta(minutes=5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows_per_batch)
+    try:
+        found = dedup.accepted_messages(frame(spark, rows), interval, key="content", ts="ts", tie="id")
+        assert sorted(r["id"] for r in found.collect()) == sorted(brute(rows, interval))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_micro_batches_leave_no_more_state_the_longer_they_run(spark, tmp_path):
+    rows = make(9, 200, 7_200)
+    interval = dt.timedelta(minutes=5)
+    stream = _write_in_order(spark, rows, str(tmp_path / "in"), 10)
+    path = tmp_path / "out"
+    deduplicate_batches(
+        stream, interval, key="content", ts="ts", tie="id", path=str(path), checkpoint=str(tmp_path / "ck")
+    )
+    assert sorted(r["id"] for r in read_accepted(spark, str(path)).collect()) == sorted(brute(rows, interval))
+    parts = [p.name for p in path.glob("last/batch=*/bucket=*")]
+    assert parts and max(parts.count(p) for p in set(parts)) <= 2
+    assert len(list(path.glob("arrived/batch=*"))) == 1
+
+
+def test_accepted_is_empty_before_the_first_message(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema("content string, ts timestamp, id int").parquet(str(tmp_path / "in"))
+    deduplicate_batches(
+        stream, dt.timedelta(minutes=5), key="content", ts="ts", tie="id",
+        path=str(tmp_path / "out"), checkpoint=str(tmp_path / "ck"),
+    )
+    assert read_accepted(spark, str(tmp_path / "out")).count() == 0
