@@ -52,7 +52,7 @@ def main() -> None:
         spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
-    for prepare in (lakes.queue, lakes.ragged_queue, lakes.forms, lakes.raw, lakes.silver, lakes.gold):
+    for prepare in (lakes.queue, lakes.ragged_queue, lakes.forms, lakes.raw, lakes.silver, lakes.gold, lakes.inventory):
         prepare(spark, sf_dir)
     seconds = {}
     for name in sys.argv[1:] or HEADLINE:

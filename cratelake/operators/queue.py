@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from cratelake.functions.text import arrival_text, scan_completed_text
 
+FEW = 10_000  # messages whose places are broadcast to fetch their bodies
+
 
 def pending(sent: DataFrame, acked: DataFrame) -> DataFrame:
     """Sent messages not acknowledged yet.
@@ -26,6 +28,19 @@ def peek(queue: DataFrame, n: int = 10) -> DataFrame:
     return queue.orderBy("sent_ts", "seq").limit(n)
 
 
+def peek_pending(sent: DataFrame, acked: DataFrame, n: int = 10) -> DataFrame:
+    """The first ``n`` pending messages with all their columns, bodies too.
+
+    Only ids and times take part in the search; the bodies of the messages found are fetched.
+    """
+    place = ["message_id", "sent_ts", "seq"]
+    found = peek(pending(sent.select(*place), acked), n)
+    if n <= FEW:
+        found = F.broadcast(found)
+    same = [sent[c].eqNullSafe(found[c]) for c in place]
+    return sent.join(found, same, "left_semi").orderBy("sent_ts", "seq").limit(n)
+
+
 def head(queue: DataFrame) -> DataFrame:
     return peek(queue, 1)
 
@@ -39,9 +54,9 @@ def scan_notifications(crates: DataFrame, subject: str = "Scan Completed") -> Da
     )
 
 
-def arrival_notifications(objects: DataFrame) -> DataFrame:
-    """One message per arrived object."""
-    return objects.select("object_key", arrival_text(F.col("object_key")).alias("body"))
+def arrival_notifications(objects: DataFrame, *others: str) -> DataFrame:
+    """One message per arrived object, with the columns ``others`` before it."""
+    return objects.select(*others, "object_key", arrival_text(F.col("object_key")).alias("body"))
 
 
 def waiting(notifications: DataFrame, threshold: int = 10) -> DataFrame:

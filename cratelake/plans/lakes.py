@@ -9,8 +9,9 @@ from cratelake.model import CRATE_FIELDS
 from cratelake.plans import fixtures
 from cratelake.session import shared_path
 from cratelake.sources.csvfiles import write_raw, write_routed
-from cratelake.sources.gold import write_gold
+from cratelake.sources.gold import create_table, write_gold
 from cratelake.sources.messages import send_messages
+from cratelake.streaming.flows import ingest_files
 
 _written: dict[tuple[str, str, str], str] = {}
 
@@ -56,6 +57,16 @@ def silver(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "unprocessed", write)
 
 
+def inventory(spark: SparkSession, sf_dir: str) -> str:
+    """Name of the table that the routed crates were ingested into."""
+    def ingest(path: str) -> None:
+        name = path.rsplit("/", 1)[-1].replace("-", "_")
+        create_table(spark, name, path, batched=True)
+        ingest_files(spark, silver(spark, sf_dir), path, f"{path}-checkpoint", table=name)
+
+    return _once(spark, sf_dir, "crate_inventory", ingest).rsplit("/", 1)[-1].replace("-", "_")
+
+
 def gold(spark: SparkSession, sf_dir: str) -> str:
     return _once(
         spark, sf_dir, "gold", lambda p: write_gold(fixtures.gold_crates(spark, sf_dir), p)

@@ -181,6 +181,18 @@ WITH {_ACKS}
 SELECT CAST(o_orderkey AS VARCHAR) AS message_id, o_orderdate AS sent_ts, o_orderkey AS seq
 FROM orders WHERE CAST(o_orderkey AS VARCHAR) NOT IN (SELECT message_id FROM acks)
 """
+_PEEK = f"""
+WITH {CRATES}, {_ACKS}
+SELECT crate_id AS message_id, sent_ts, seq, CAST({_BODY} AS VARCHAR) AS body FROM crates
+WHERE crate_id NOT IN (SELECT message_id FROM acks) ORDER BY sent_ts, seq"""
+_QUEUE_VIEW = ", ".join(
+    "CASE WHEN seq % 5 <> 0 THEN return_time END AS return_time" if f == "return_time" else f
+    for f in QUEUE_VIEW_FIELDS
+)
+# Bytes of a record as a CSV line: commas and the line break, and quotes around what holds a comma.
+_LINE = " + ".join(
+    f"coalesce(strlen({f}) + CASE WHEN contains({f}, ',') THEN 2 ELSE 0 END, 0)" for f in CRATE_FIELDS
+) + f" + {len(CRATE_FIELDS)}"
 
 ORACLES: dict[str, str] = {
     "src_messages": f"WITH {CRATES} SELECT crate_id AS message_id, sent_ts, seq, {_FIELDS} FROM crates",
@@ -200,8 +212,8 @@ ORACLES: dict[str, str] = {
           || regexp_extract(object_key, '[^/]*$') AS destination_key FROM arrived""",
     "silver_route_stream": _ROUTED_ROWS,
     "list_files": f"""
-        WITH {CRATES} SELECT DISTINCT 'creation_date=' || arrival_date AS directory,
-          true AS is_csv, true AS has_bytes FROM crates""",
+        WITH {CRATES} SELECT 'creation_date=' || arrival_date AS directory, true AS is_csv,
+          CAST(sum({_LINE}) AS BIGINT) AS row_bytes FROM crates GROUP BY arrival_date""",
     "scan_silver_csv": _ROUTED_ROWS,
     "gold_write": _GOLD_ROWS,
     "gold_partitions": (
@@ -211,7 +223,7 @@ ORACLES: dict[str, str] = {
     "schema_report": f"""
         SELECT CAST(row_number() OVER () AS INTEGER) AS position, column_name,
           CASE column_type WHEN 'VARCHAR' THEN 'string' ELSE lower(column_type) END AS data_type
-        FROM (DESCRIBE WITH {CRATES} SELECT {_ROUTED} FROM crates)""",
+        FROM (DESCRIBE WITH {CRATES} SELECT {_GOLD_FIELDS} FROM crates)""",
     "notify_scanned": f"""
         WITH {CRATES}, {_ACKS} SELECT crate_id, 'Scan Completed' AS subject,
           'QR Code Scan Completed for Crate id: ' || crate_id AS message
@@ -228,9 +240,7 @@ ORACLES: dict[str, str] = {
             f"'{f}': {_missing_field_is_null(f)}" for f in LABEL_FIELDS)}}}) AS VARCHAR) AS payload
         FROM crates""",
     "inprogress_view": f"""
-        WITH {CRATES}, {_ACKS} SELECT crate_id AS message_id, {", ".join(
-            "CASE WHEN seq % 5 <> 0 THEN return_time END AS return_time" if f == "return_time" else f
-            for f in QUEUE_VIEW_FIELDS)}
+        WITH {CRATES}, {_ACKS} SELECT crate_id AS message_id, {_QUEUE_VIEW}
         FROM crates WHERE crate_id NOT IN (SELECT message_id FROM acks) AND seq % 7 <> 0""",
     "inprogress_rejects": f"""
         WITH {CRATES}, {_ACKS} SELECT crate_id AS message_id, 'customer_name' AS missing
@@ -258,8 +268,14 @@ ORACLES: dict[str, str] = {
         WITH {_ACKS} SELECT CAST(o_orderkey AS VARCHAR) AS message_id,
           CASE WHEN CAST(o_orderkey AS VARCHAR) IN (SELECT message_id FROM acks) THEN 'landed'
             ELSE 'pending' END AS state FROM orders""",
-    "queue_head": f"SELECT * FROM ({_PENDING}) ORDER BY sent_ts, seq LIMIT 1",
-    "queue_peek10": f"SELECT * FROM ({_PENDING}) ORDER BY sent_ts, seq LIMIT 10",
+    "queue_head": _PEEK + " LIMIT 1",
+    "queue_peek10": _PEEK + " LIMIT 10",
+    "inprogress_page": f"""
+        WITH {CRATES}, {_ACKS}, page AS (
+          SELECT * FROM crates WHERE crate_id NOT IN (SELECT message_id FROM acks)
+          ORDER BY sent_ts, seq LIMIT 10
+        )
+        SELECT crate_id AS message_id, {_QUEUE_VIEW} FROM page WHERE seq % 7 <> 0""",
     "waiting_files": "SELECT count(*) AS waiting, count(*) > 10 AS batch_due FROM events",
     "kpi_cards": """
         SELECT count(DISTINCT o_orderkey) AS total_crates, count(*) AS total_requests,
@@ -280,7 +296,7 @@ ORACLES: dict[str, str] = {
         WITH {CRATES}, shown AS (SELECT {_TRACKING} FROM crates)
         SELECT * FROM shown WHERE {" AND ".join(
             "(" + " OR ".join(f"contains(lower(coalesce({f}, '')), '{w}')" for f in TRACKING_FIELDS)
-            + ")" for w in ("asia", "dairy"))}""",
+            + ")" for w in ("asia", "glass"))}""",
     "table_sort_asc": _cells_sorted("ASC"),
     "table_sort_desc": _cells_sorted("DESC"),
     "table_page": f"""
@@ -288,7 +304,7 @@ ORACLES: dict[str, str] = {
         SELECT * FROM shown WHERE {" AND ".join(
             "(" + " OR ".join(f"contains(lower(CAST({f} AS VARCHAR)), '{w}')"
                               for f in [*TRACKING_FIELDS, "seq"])
-            + ")" for w in ("asia", "dairy"))}
+            + ")" for w in ("asia", "glass"))}
         ORDER BY return_date DESC, seq LIMIT 10 OFFSET 20""",
     "table_page_far": f"""
         SELECT event_id, cell FROM ({_cells_sorted("ASC")}) WHERE pos BETWEEN 726 AND 750""",
@@ -300,9 +316,10 @@ ORACLES: dict[str, str] = {
           ts AS parsed_ts, CAST(NULL AS TIMESTAMP) AS unparsed_ts, CAST(ts AS DATE) AS event_date,
           CAST(ts AS DATE) + 7 AS week_later
         FROM events""",
-    "key_scalars": """
+    "key_scalars": r"""
         WITH uris AS (
           SELECT page_id, regexp_replace(url, '^https?://', 's3://')
+            || CASE page_id % 3 WHEN 0 THEN '/a%20b+c%2Bd%C3%A9%zz100%' ELSE '' END
             || CASE page_id % 2 WHEN 0 THEN '.csv' ELSE '.parquet' END AS uri FROM pages
         ),
         split AS (
@@ -312,7 +329,7 @@ ORACLES: dict[str, str] = {
         SELECT page_id, bucket, object_key, regexp_extract(uri, '[^/]*$') AS basename,
           'processed/' || CASE WHEN contains(object_key, '/')
             THEN substr(object_key, strpos(object_key, '/') + 1) ELSE '' END AS archive_key,
-          url_decode(uri) AS decoded,
+          url_decode(regexp_replace(uri, '%(zz|\.|$)', '%25\1', 'g')) AS decoded,
           'unprocessed/creation_date=2023-12-08/' || regexp_extract(uri, '[^/]*$') AS silver_key,
           suffix(uri, '.csv') AS is_csv
         FROM split""",

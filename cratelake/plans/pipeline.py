@@ -2,68 +2,104 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cratelake import session
+from cratelake.functions.text import content_hash
 from cratelake.model import LANDED_SCHEMA
-from cratelake.operators import queue, tracking
+from cratelake.operators import dedup, queue, records, tracking
 from cratelake.session import cut
 from cratelake.sources import csvfiles, files, gold, messages
 from cratelake.streaming import flows
 
 
+REPEAT = dt.timedelta(minutes=5)  # a content sent again within this time is dropped
+
+
 class CrateLake:
-    """Send crates, scan them, and read them back once they are in the gold table."""
+    """Send crates, scan them, and read them back once they are in the gold table.
+
+    ``name`` is the gold table's name in the catalog, by which SQL finds it.
+    """
 
-    def __init__(self, spark: SparkSession, root: str, threshold: int = 10):
+    def __init__(self, spark: SparkSession, root: str, threshold: int = 10, name: str = "crate_inventory"):
         self.spark = spark
         self.threshold = threshold
+        self.name = name
         self._root = root.rstrip("/")
-        for zone in ("queue", "acks", "rejects", "raw", "unprocessed", "cleared", "gold"):
+        for zone in ("queue", "acks", "rejects", "notices", "raw", "unprocessed", "arrivals", "cleared", "gold"):
             files.ensure_folder(spark, self._at(zone))
+        gold.create_table(spark, name, self._at("gold"), batched=True)
+        gold.repair_table(spark, name)
 
     def _at(self, name: str) -> str:
         return f"{self._root}/{name}"
 
-    def send(self, records: DataFrame, message_id: str, sent_ts: str, seq: str) -> None:
-        """Queue crate records."""
-        messages.send_messages(
-            messages.as_messages(records, message_id, sent_ts, seq), self._at("queue")
+    def send(self, crates: DataFrame, message_id: str, sent_ts: str, seq: str) -> None:
+        """Queue crate records; one that was queued less than ``REPEAT`` before is dropped."""
+        new = messages.as_messages(crates, message_id, sent_ts, seq)
+        hashed = {"_content": content_hash(F.col("body"))}
+        sent = messages.read_messages(self.spark, self._at("queue")).withColumns(hashed)
+        place = F.struct("seq", "message_id")
+        stored = session.stored(new.withColumns(hashed).withColumn("_place", place), "sent")
+        since = stored.agg(F.min("sent_ts")).first()[0]
+        if since is None:
+            return
+        kept = dedup.accepted_after(
+            stored, sent.where(F.col("sent_ts") > F.lit(since - REPEAT)), REPEAT,
+            key="_content", ts="sent_ts", tie="_place",
         )
+        messages.send_messages(stored.join(kept, ["_content", "sent_ts", "_place"], "left_semi").select(*new.columns), self._at("queue"))
 
     def pending(self) -> DataFrame:
         """Messages not scanned yet."""
         sent = messages.read_messages(self.spark, self._at("queue"))
         return queue.pending(sent, flows.read_acks(self.spark, self._at("acks")))
 
+    def in_progress(self, n: int = 10) -> DataFrame:
+        """The first ``n`` pending messages as the queue view shows them."""
+        sent = messages.read_messages(self.spark, self._at("queue"))
+        acked = flows.read_acks(self.spark, self._at("acks"))
+        return records.inprogress_view(queue.peek_pending(sent, acked, n))
+
     def scan(self) -> None:
         """Land and acknowledge what the queue has received since the last scan."""
         flows.scan_messages(
             messages.stream_messages(self.spark, self._at("queue")),
             self._at("raw"), self._at("acks"), self._at("checkpoints/scan"), self._at("rejects"),
+            self._at("notices"),
         )
 
+    def notices(self) -> DataFrame:
+        """What has been scanned, one notification per crate."""
+        return flows.read_notices(self.spark, self._at("notices"))
+
     def rejected(self) -> DataFrame:
         """Messages a scan could not read; they stay pending."""
         return flows.read_rejects(self.spark, self._at("rejects"))
 
     def route(self, arrival: Column | None = None) -> None:
-        """Move landed records to their arrival date."""
+        """Move landed records to their arrival date and announce the files."""
         flows.route_files(
             self.spark, self._at("raw"), self._at("unprocessed"),
             self._at("checkpoints/route"), arrival,
         )
+        flows.announce_files(self.spark, self._at("unprocessed"), self._at("arrivals"))
 
     def waiting_files(self) -> DataFrame:
-        """Routed files that no batch has taken yet."""
+        """Announced files that no batch has taken yet."""
         cleared = self.spark.read.schema("uri STRING").parquet(self._at("cleared"))
-        listed = files.list_files(self.spark, self._at("unprocessed")).select("uri")
-        return listed.join(cleared, "uri", "left_anti")
+        return flows.read_arrivals(self.spark, self._at("arrivals")).join(cleared, "uri", "left_anti").select("uri")
 
     def ingest(self) -> None:
-        """Take the routed files into the gold table, each once."""
+        """Take the routed files into the gold table, each once; consumed ones go to the archive."""
         flows.ingest_files(
             self.spark, self._at("unprocessed"), self._at("gold"),
-            self._at("checkpoints/ingest"), schema=LANDED_SCHEMA,
+            self._at("checkpoints/ingest"), archive=self._at("archive"), schema=LANDED_SCHEMA,
+            table=self.name,
         )
 
     def ingest_if_due(self) -> bool:
@@ -75,12 +111,12 @@ class CrateLake:
         )
 
     def table(self) -> DataFrame:
-        return gold.read_gold(self.spark, self._at("gold"))
+        return self.spark.table(self.name).select(*gold.GOLD_SCHEMA.names)
 
     def delivered(self, limit: int | None = None) -> DataFrame:
         return tracking.track_delivered(self.table(), limit)
 
     def landed(self) -> DataFrame:
-        """Routed records as they are, dated by arrival."""
+        """Routed records that are not in the archive yet, dated by arrival."""
         found = csvfiles.read_crate_csv(self.spark, self._at("unprocessed"), LANDED_SCHEMA)
         return csvfiles.with_arrival(found, keep_declared=True)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cratelake.functions import dates, keys, payload, text
-from cratelake.model import CRATE_FIELDS, CRATE_SCHEMA, LANDED_SCHEMA, TRACKING_FIELDS
+from cratelake.model import CRATE_FIELDS, CRATE_SCHEMA, DECLARED_DATE, LANDED_SCHEMA, TRACKING_FIELDS
 from cratelake.operators import (
     batches, browse, dashboard, dedup, queue, records, tracking,
 )
@@ -126,10 +126,11 @@ def silver_route_stream(spark, sf_dir):
 def list_files(spark, sf_dir):
     uri = F.col("uri")
     directory = F.element_at(F.split(uri, "/"), -2)
-    return files.list_files(spark, lakes.silver(spark, sf_dir)).select(
-        directory.alias("directory"), keys.is_csv(uri).alias("is_csv"),
-        (F.col("length") > 0).alias("has_bytes"),
-    ).distinct()
+    header = len(",".join(CRATE_FIELDS[:-1] + [DECLARED_DATE])) + 1
+    # What a folder's files hold besides their headers does not depend on how many there are.
+    return files.list_files(spark, lakes.silver(spark, sf_dir)).groupBy(directory.alias("directory")).agg(
+        F.bool_and(keys.is_csv(uri)).alias("is_csv"), F.sum(F.col("length") - header).alias("row_bytes")
+    )
 
 
 def scan_silver_csv(spark, sf_dir):
@@ -145,7 +146,9 @@ def gold_partitions(spark, sf_dir):
     name = f"crate_inventory_{uuid.uuid4().hex}"
     gold.create_table(spark, name, lakes.gold(spark, sf_dir))
     gold.repair_table(spark, name)
-    return gold.partitions(spark, name)
+    found = gold.partitions(spark, name)  # the command runs at once
+    spark.sql(f"DROP TABLE {name}")
+    return found
 
 
 def gold_incremental(spark, sf_dir):
@@ -157,8 +160,8 @@ def gold_incremental(spark, sf_dir):
 
 
 def schema_report(spark, sf_dir):
-    landed = csvfiles.read_crate_csv(spark, lakes.silver(spark, sf_dir), LANDED_SCHEMA)
-    return gold.schema_report(csvfiles.with_arrival(landed, keep_declared=True))
+    """The schema that the gold files themselves state."""
+    return gold.schema_report(spark.read.parquet(lakes.gold(spark, sf_dir)))
 
 
 def notify_scanned(spark, sf_dir):
@@ -203,9 +206,8 @@ def inprogress_rejects(spark, sf_dir):
 
 
 def track_delivered(spark, sf_dir):
-    """The table is found by name."""
-    fixtures.gold_crates(spark, sf_dir).createOrReplaceTempView("crate_inventory")
-    return tracking.track_delivered(spark.table("crate_inventory"))
+    """The table that the ingest stream fills, found by its name."""
+    return tracking.track_delivered(spark.table(lakes.inventory(spark, sf_dir)))
 
 
 def track_delivered_gold(spark, sf_dir):
@@ -254,13 +256,19 @@ def pending_after_scan(spark, sf_dir):
 
 
 def queue_head(spark, sf_dir):
-    sent = fixtures.sent(spark, sf_dir)
-    return _plain_times(queue.head(queue.pending(sent, fixtures.acks(spark, sf_dir))))
+    sent = messages.read_messages(spark, lakes.queue(spark, sf_dir))
+    return _plain_times(queue.peek_pending(sent, fixtures.acks(spark, sf_dir), 1))
 
 
 def queue_peek10(spark, sf_dir):
-    sent = fixtures.sent(spark, sf_dir)
-    return _plain_times(queue.peek(queue.pending(sent, fixtures.acks(spark, sf_dir))))
+    sent = messages.read_messages(spark, lakes.queue(spark, sf_dir))
+    return _plain_times(queue.peek_pending(sent, fixtures.acks(spark, sf_dir)))
+
+
+def inprogress_page(spark, sf_dir):
+    """The first ten pending messages, those of them that have every field of the view."""
+    first = queue.peek_pending(_ragged(spark, sf_dir), fixtures.acks(spark, sf_dir))
+    return records.inprogress_view(first)
 
 
 def waiting_files(spark, sf_dir):
@@ -312,7 +320,7 @@ def category_share(spark, sf_dir):
 
 def table_search(spark, sf_dir):
     return browse.table_search(
-        fixtures.crates(spark, sf_dir).select(*TRACKING_FIELDS), "ASIA dairy"
+        fixtures.crates(spark, sf_dir).select(*TRACKING_FIELDS), "ASIA glass"
     )
 
 
@@ -339,7 +347,7 @@ def table_sort_desc(spark, sf_dir):
 def table_page(spark, sf_dir):
     """Third page of a search, sorted by a column."""
     found = browse.table_search(
-        fixtures.crates(spark, sf_dir).select(*TRACKING_FIELDS, "seq"), "asia dairy"
+        fixtures.crates(spark, sf_dir).select(*TRACKING_FIELDS, "seq"), "asia glass"
     )
     return browse.table_page(found, "return_date", row_key="seq", ascending=False, page=3)
 
@@ -376,7 +384,9 @@ def date_scalars(spark, sf_dir):
 
 def key_scalars(spark, sf_dir):
     suffix = F.when(F.col("page_id") % 2 == 0, ".csv").otherwise(".parquet")
-    uri = F.concat(F.regexp_replace("url", "^https?://", "s3://"), suffix)
+    # Every third key has escapes, a plus sign and signs that escape nothing.
+    odd = F.when(F.col("page_id") % 3 == 0, "/a%20b+c%2Bd%C3%A9%zz100%").otherwise("")
+    uri = F.concat(F.regexp_replace("url", "^https?://", "s3://"), odd, suffix)
     pages = fixtures.table(spark, sf_dir, "pages").select("page_id", uri.alias("uri"))
     key = keys.uri_key(F.col("uri"))
     return pages.select(
@@ -486,7 +496,7 @@ QUERIES: dict[str, Query] = {
         gold_incremental, schema_report, notify_scanned, notify_arrival, canonical_record,
         label_payload_full, label_payload_scan, inprogress_view, inprogress_rejects,
         track_delivered, track_delivered_gold, result_as_text, validate_accept,
-        validate_reject, pending, pending_after_scan, queue_head, queue_peek10,
+        validate_reject, pending, pending_after_scan, queue_head, queue_peek10, inprogress_page,
         waiting_files, kpi_cards, requests_7d, fulfilled_by_month, series_max,
         requested_vs_flagged, category_share, table_search, table_sort_asc, table_sort_desc,
         table_page, table_page_far, table_page_count, date_scalars, key_scalars,

@@ -18,20 +18,17 @@ from cratelake.model import (
 )
 from cratelake.operators.batches import full_batches
 from cratelake.operators.numbering import with_position
+from cratelake.operators.queue import arrival_notifications, scan_notifications
 from cratelake.sources.csvfiles import (
-    WRITE_OPTIONS, stream_crate_csv, with_arrival, write_raw,
+    FILE_ROWS, WRITE_OPTIONS, stream_crate_csv, with_arrival, write_raw,
 )
-from cratelake.sources.files import ensure_folder, exists
+from cratelake.sources.files import ensure_folder, exists, list_files
+from cratelake.sources.gold import write_batch
 
 def _finish(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
-def _by_date(df: DataFrame) -> DataFrame:
-    """Rows of a date together; a date with very many is split by size."""
-    return df.hint("rebalance", ARRIVAL_DATE)
-
-
 def _seed(spark: SparkSession, path: str, fields: str) -> None:
     """An empty part of a batched folder, so that it can be read before the first batch."""
     first = f"{path}/batch=-1"
@@ -44,9 +41,10 @@ def _written(spark: SparkSession, path: str) -> bool:
 
 
 def scan_messages(
-    messages: DataFrame, raw: str, acks: str, checkpoint: str, rejects: str | None = None
+    messages: DataFrame, raw: str, acks: str, checkpoint: str, rejects: str | None = None,
+    notices: str | None = None,
 ) -> None:
-    """Land each message's record, then acknowledge the message.
+    """Land each message's record, put a notice in ``notices`` if given, acknowledge the message.
 
     A message whose body is no JSON object is neither landed nor acknowledged; it goes to the
     folder ``rejects`` (by default beside ``acks``) with its body. A micro-batch that is run again
@@ -65,6 +63,9 @@ def scan_messages(
         if not _written(batch.sparkSession, landing):
             record = batch.select(record_of(F.col("body")).alias("r")).select("r.*")
             write_raw(record, landing, mode="overwrite")
+        if notices and not _written(batch.sparkSession, f"{notices}/batch={batch_id}"):
+            crates = batch.select(record_of(F.col("body"))["crate_id"].alias("crate_id"))
+            scan_notifications(crates).write.mode("overwrite").parquet(f"{notices}/batch={batch_id}")
         if not _written(batch.sparkSession, acked):
             batch.select("message_id").write.mode("overwrite").parquet(acked)
 
@@ -83,11 +84,33 @@ def read_acks(spark: SparkSession, acks: str) -> DataFrame:
     return spark.read.schema("message_id STRING").option("recursiveFileLookup", "true").parquet(acks)
 
 
+def read_notices(spark: SparkSession, notices: str) -> DataFrame:
+    return spark.read.schema("crate_id STRING, subject STRING, message STRING").option(
+        "recursiveFileLookup", "true"
+    ).parquet(notices)
+
+
+def announce_files(spark: SparkSession, silver: str, arrivals: str) -> None:
+    """Append a message for every routed file that has none yet; ``arrivals`` is a folder of them."""
+    listed = list_files(spark, silver).select("uri")
+    new = listed.join(read_arrivals(spark, arrivals), "uri", "left_anti")
+    key = F.regexp_extract("uri", f"[^/]+/{ARRIVAL_DATE}=.*$", 0)
+    told = arrival_notifications(new.withColumn("object_key", F.coalesce(F.nullif(key, F.lit("")), "uri")), "uri")
+    told.write.mode("append").parquet(arrivals)
+
+
+def read_arrivals(spark: SparkSession, arrivals: str) -> DataFrame:
+    return spark.read.schema("uri STRING, object_key STRING, body STRING").parquet(arrivals)
+
+
 def route_files(
     spark: SparkSession, raw: str, silver: str, checkpoint: str,
     arrival: Column | None = None, max_files: int = 1000,
 ) -> None:
-    """Route landed records to their arrival date, by default the day the file was written."""
+    """Route landed records to their arrival date, by default the day the file was written.
+
+    Below a date each micro-batch has a folder of its own, which a repeated run replaces.
+    """
     arrival = F.col("_metadata.file_modification_time") if arrival is None else arrival
     ensure_folder(spark, raw)
     records = stream_crate_csv(spark, raw, max_files=max_files)
@@ -96,24 +119,38 @@ def route_files(
         F.col(ARRIVAL_DATE).alias(DECLARED_DATE),
         F.col("_arrival").alias(ARRIVAL_DATE),
     )
+
+    def route(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("batch", F.lit(batch_id)).hint("rebalance", ARRIVAL_DATE)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .options(**WRITE_OPTIONS).option("maxRecordsPerFile", FILE_ROWS)
+         .partitionBy(ARRIVAL_DATE, "batch").csv(silver))
+
+    ensure_folder(spark, silver)
     _finish(
-        _by_date(routed).writeStream.format("csv").options(**WRITE_OPTIONS)
-        .partitionBy(ARRIVAL_DATE).option("path", silver)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        routed.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
     )
 
 
 def ingest_files(
     spark: SparkSession, silver: str, gold: str, checkpoint: str,
     archive: str | None = None, max_files: int = 1000, schema=LANDED_SCHEMA,
-    keep_declared: bool = False,
+    keep_declared: bool = False, table: str | None = None,
 ) -> None:
-    """Routed CSV to the gold Parquet folder; the sink's log makes each file count once."""
+    """Routed CSV to the gold Parquet folder, each file once, and its new partitions to ``table``.
+
+    ``archive`` takes the consumed files, so that the folder that is listed stays short.
+    """
     ensure_folder(spark, silver)
+    ensure_folder(spark, gold)
     landed = stream_crate_csv(spark, silver, schema, max_files, archive)
+
+    def ingest(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, gold, batch_id, table)
+
     _finish(
-        _by_date(with_arrival(landed, keep_declared)).writeStream.format("parquet")
-        .partitionBy(ARRIVAL_DATE).option("path", gold)
+        with_arrival(landed, keep_declared).writeStream.foreachBatch(ingest)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 

@@ -151,7 +151,7 @@ def _skewed(spark, crate):
 
 
 def _files_by_date(path):
-    return [len(list((path / f"creation_date=2023-12-0{d}").glob("*.parquet"))) for d in (1, 2)]
+    return [len(list((path / f"creation_date=2023-12-0{d}").rglob("*.parquet"))) for d in (1, 2)]
 
 
 def test_a_date_with_most_rows_is_written_by_several_tasks(

@@ -3,10 +3,10 @@
 import pytest
 
 import __spark_entry__ as driver
+from cratelake.plans.oracles import ORACLES as SQL
+from cratelake.plans.queries import QUERIES
 from tests.parity import connect, spark_rows, sql_rows
 
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con(sf):
