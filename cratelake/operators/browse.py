@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from cratelake.operators.numbering import with_position
 
-# Rows per page offered, characters a sort ignores, what counts as a number.
-PAGE_SIZES = [5, 10, 15, 20, 25]
+# Rows per page, characters a sort ignores, what counts as a number.
 PAGE_SIZE = 10
 IGNORED = (
     "[$,%\\s\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000\\ufeff]"
@@ -20,6 +19,7 @@ NUMBER = r"^[+-]?(Infinity|(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?)$"
 # Rows a single task may be asked to keep for one page; pages further in are located by
 # position instead.
 NEAR_ROWS = 50_000
+FEW = 10_000  # rows of a page whose keys are broadcast to fetch it
 
 
 def _shown(name: str) -> Column:
@@ -80,8 +80,8 @@ def table_page(
     """Rows of one page of ``df``, sorted by ``name`` or left in ``row_key`` order.
 
     A page near the front is a top-k. One far in would make a single task keep all rows
-    before it, so there only the keys are numbered and the page's rows, at most ``size``,
-    are fetched by key.
+    before it, so there only the keys are numbered and the page's rows are fetched by them.
+    Rows equal in ``row_key`` too come in any order, and each once.
     """
     if page < 1 or size < 1:
         raise ValueError("page and size start at 1")
@@ -91,12 +91,21 @@ def table_page(
     if page * size <= near_rows:
         found = keyed.orderBy(*order).offset((page - 1) * size).limit(size)
         return found.select(*df.columns)
-    ranked = with_position(keyed, *order, keep=[row_key])
+    places = [row_key] if name is None else ["_number", "_text", row_key]
+    ranked = with_position(keyed, *order, keep=places)
     on_page = ranked.where(F.col("pos").between((page - 1) * size + 1, page * size))
-    return (
-        df.join(F.broadcast(on_page.select(row_key, "pos")), row_key)
-        .orderBy("pos").select(*df.columns)
-    )
+    found = on_page.select(*[F.col(c).alias(f"_at{i}") for i, c in enumerate(places)]).distinct()
+    if size <= FEW:
+        found = F.broadcast(found)
+
+    def fetched(rows: DataFrame) -> DataFrame:
+        same = [rows[c].eqNullSafe(found[f"_at{i}"]) for i, c in enumerate(places)]
+        return rows.join(found, same, "left_semi")
+
+    # Rows that nothing tells apart share a place; those of them before the page are passed over.
+    first = fetched(ranked).agg(F.coalesce(F.min("pos"), F.lit(1))).first()[0]
+    skipped = max(0, (page - 1) * size + 1 - first)
+    return fetched(keyed).orderBy(*order).offset(skipped).limit(size).select(*df.columns)
 
 
 def page_count(df: DataFrame, size: int = PAGE_SIZE) -> DataFrame:

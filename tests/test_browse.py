@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from cratelake.operators import browse
 from cratelake.operators.numbering import with_position
@@ -71,3 +72,18 @@ def test_position_with_a_value_most_rows_share(spark):
 
 def test_position_of_an_empty_table(spark):
     assert with_position(spark.range(0), "id").count() == 0
+
+
+@pytest.mark.parametrize("page", [1, 2, 4, 5])
+@pytest.mark.parametrize("name", ["cell", None])
+def test_pages_agree_near_and_far_where_keys_repeat(spark, name, page):
+    df = spark.range(40).select((F.col("id") % 10).alias("key"), (F.col("id") % 3).cast("string").alias("cell"))
+    near, far = (
+        [tuple(r) for r in browse.table_page(df, name, row_key="key", page=page, near_rows=n).collect()]
+        for n in (50_000, 0)
+    )
+    assert len(far) == (10 if page < 5 else 0)
+    if name:
+        assert near == far
+    else:
+        assert [r[0] for r in near] == [r[0] for r in far]
