@@ -39,17 +39,19 @@ def accepted_messages(
     ts: str,
     tie: str,
     group_rows: int = GROUP_ROWS,
+    scratch: str | None = None,
 ) -> DataFrame:
     """``(key, ts, tie)`` of the accepted messages. Equal times are ordered by ``tie``.
 
     ``tie`` identifies a message. A message without content, time or ``tie`` cannot be ordered
-    and is not accepted, here and in streams alike; ``incomplete`` gives these.
+    and is not accepted, here and in streams alike; ``incomplete`` gives these. The three
+    columns are stored once, in the folder ``scratch`` if given, which may go once the result is written.
     """
     if interval <= dt.timedelta(0):
         raise ValueError("interval must be positive")
     rows = stored(messages.select(
         F.col(key).alias("key"), F.col(ts).alias("ts"), F.col(tie).alias("tie")
-    ).dropna(), "messages")
+    ).dropna(), "messages", scratch)
     # Counting by a 64-bit hash moves little; a collision only sends a short content the
     # long way, which is exact too.
     hashed = F.xxhash64("key")
@@ -77,7 +79,7 @@ def incomplete(messages: DataFrame, *, key: str, ts: str, tie: str) -> DataFrame
 
 
 def deduplicate(
-    messages: DataFrame, interval: dt.timedelta, *, key: str, ts: str, tie: str, **options: int
+    messages: DataFrame, interval: dt.timedelta, *, key: str, ts: str, tie: str, **options
 ) -> DataFrame:
     """The accepted messages with all their columns; ``tie`` identifies a message."""
     kept = accepted_messages(messages, interval, key=key, ts=ts, tie=tie, **options)
@@ -112,7 +114,7 @@ def _fold_sorted(rows: DataFrame, interval: dt.timedelta) -> DataFrame:
 
 def accepted_after(
     messages: DataFrame, earlier: DataFrame, interval: dt.timedelta,
-    *, key: str, ts: str, tie: str, **options: int,
+    *, key: str, ts: str, tie: str, **options,
 ) -> DataFrame:
     """``(key, ts, tie)`` of ``messages`` accepted when the messages ``earlier`` were accepted before.
 

@@ -44,15 +44,20 @@ class CrateLake:
         hashed = {"_content": content_hash(F.col("body"))}
         sent = messages.read_messages(self.spark, self._at("queue")).withColumns(hashed)
         place = F.struct("seq", "message_id")
-        stored = session.stored(new.withColumns(hashed).withColumn("_place", place), "sent")
+        scratch = session.shared_path(self.spark, "sent")
+        stored = session.stored(new.withColumns(hashed).withColumn("_place", place), "sent", f"{scratch}/new")
         since = stored.agg(F.min("sent_ts")).first()[0]
         if since is None:
+            files.delete(self.spark, scratch)
             return
         kept = dedup.accepted_after(
             stored, sent.where(F.col("sent_ts") > F.lit(since - REPEAT)), REPEAT,
-            key="_content", ts="sent_ts", tie="_place",
+            key="_content", ts="sent_ts", tie="_place", scratch=f"{scratch}/narrow",
         )
-        messages.send_messages(stored.join(kept, ["_content", "sent_ts", "_place"], "left_semi").select(*new.columns), self._at("queue"))
+        place_names = ["_content", "sent_ts", "_place"]
+        accepted = stored.join(kept, place_names, "left_semi").select(*new.columns)
+        messages.send_messages(accepted, self._at("queue"))
+        files.delete(self.spark, scratch)
 
     def pending(self) -> DataFrame:
         """Messages not scanned yet."""

@@ -49,10 +49,10 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and go on from the file, read as often as needed."""
-    path = shared_path(df.sparkSession, label)
-    df.write.parquet(path)
+def stored(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder, or to ``path``, and go on from what was written."""
+    path = path or shared_path(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -30,10 +30,15 @@ def write_raw(crates: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def read_crate_csv(
-    spark: SparkSession, path: str, schema: T.StructType = CRATE_SCHEMA
+    spark: SparkSession, path: str, schema: T.StructType = CRATE_SCHEMA, line_breaks: bool = True,
 ) -> DataFrame:
-    """All columns as text. The directory never supplies or renames a column."""
-    return spark.read.schema(schema).options(**READ_OPTIONS).csv(path)
+    """All columns as text. The directory never supplies or renames a column.
+
+    With ``line_breaks`` fields may hold them, and a file is read by one task; where no field does,
+    say so, and large files of others are split.
+    """
+    options = {**READ_OPTIONS, "multiLine": str(line_breaks).lower()}
+    return spark.read.schema(schema).options(**options).csv(path)
 
 
 def stream_crate_csv(

@@ -124,7 +124,10 @@ def deduplicate_batches(
         parts = [f"{path}/last/batch={max(versions[b])}/bucket={b}" for b in touched if b in versions]
         if parts:
             known = spark.read.schema(known.schema).parquet(*parts)
-        kept = accepted_after(arrived, known, interval, key="key", ts="ts", tie="tie", **options)
+        scratch = f"{path}/fresh"
+        kept = accepted_after(
+            arrived, known, interval, key="key", ts="ts", tie="tie", scratch=scratch, **options
+        )
         accepted = _store(spark, kept.select(
             F.col("key").alias(key), F.col("ts").alias(ts), F.col("tie").alias(tie)
         ), f"{path}/accepted/batch={batch_id}")
@@ -142,6 +145,7 @@ def deduplicate_batches(
             for old in found - {max(found)}:
                 delete(spark, f"{path}/last/batch={old}/bucket={b}")
         delete(spark, f"{path}/arrived/batch={batch_id - 1}")
+        delete(spark, scratch)
 
     messages.writeStream.foreachBatch(accept).option("checkpointLocation", checkpoint).trigger(
         availableNow=True

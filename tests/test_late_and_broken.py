@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cratelake.functions import keys
 from cratelake.operators import dedup, records
-from cratelake.sources import csvfiles, events, messages
+from cratelake.sources import csvfiles, events, gold, messages
 from cratelake.streaming import flows
 from cratelake.streaming.dedup import deduplicate_stream
 
@@ -99,3 +99,25 @@ def test_the_last_of_repeated_fields_counts_everywhere(spark):
     body = '{"%s": "1", %s, "%s": "2"}' % (name, fields, name)
     view = records.inprogress_view(spark.createDataFrame([("m", body)], "message_id string, body string")).collect()
     assert [r[name] for r in view] == ["2"]
+
+
+def test_files_below_no_date_are_kept_apart(spark, tmp_path, crate):
+    silver, target, check = (str(tmp_path / x) for x in ("silver", "gold", "check"))
+    for n, folder in (("1", "creation_date=2024-01-01"), ("2", "lost"), ("3", "creation_date=soon")):
+        csvfiles.write_raw(spark.createDataFrame([crate(crate_id=n)], csvfiles.CRATE_SCHEMA), f"{silver}/{folder}")
+    gold.create_table(spark, "dated", target, batched=True)
+    flows.ingest_files(spark, silver, target, check, schema=csvfiles.CRATE_SCHEMA, table="dated")
+    assert [r["crate_id"] for r in spark.table("dated").collect()] == ["1"]
+    assert {r["crate_id"] for r in gold.undated(spark, target).collect()} == {"2", "3"}
+
+
+def test_a_file_without_line_breaks_reads_the_same_when_split(spark, tmp_path, crate):
+    rows = [crate(crate_id=str(i), contents='a "quoted", word') for i in range(200)]
+    csvfiles.write_raw(spark.createDataFrame(rows, csvfiles.CRATE_SCHEMA).coalesce(1), str(tmp_path / "raw"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        split = csvfiles.read_crate_csv(spark, str(tmp_path / "raw"), line_breaks=False)
+        assert split.rdd.getNumPartitions() > 1
+        assert sorted(map(tuple, split.collect())) == sorted(rows)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
