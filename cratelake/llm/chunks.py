@@ -116,10 +116,12 @@ def chunked(docs: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """``doc_id, start, end, n_words, first_doc_id, kept``: a row per passage that other documents have.
 
-    A passage is a run of neighbouring chunks whose digests occur in two documents or more, of
-    ``least_words`` words or more; ``start`` and ``end`` count characters. ``first_doc_id`` is
-    the smallest doc_id that has one of its chunks, ``kept`` says that this is the row's own
-    document, whose copy stays. Documents without such a passage have no row.
+    A run is of neighbouring chunks whose digests occur in two documents or more, of
+    ``least_words`` words or more in all. The smallest doc_id that has a chunk owns it. A run is
+    told in a row per stretch whose chunks are all the document's own or all others': ``kept`` says
+    that they are its own and stay, so that each repeated chunk stays in its owner. A stretch of others'
+    can have fewer words than ``least_words``; one of its own that has stays too, without a row.
+    ``start`` and ``end`` count characters, ``first_doc_id`` is the smallest owner in the stretch.
 
     Only the digest's smallest and largest doc_id are gathered, which is a partial aggregate
     before the shuffle; the chunks then join them on the digest, where a chunk that very
@@ -135,15 +137,17 @@ def repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     ).where("low < high").select("digest", "low")
     shared = parts.join(held, "digest").select("doc_id", "idx", "start", "length", "n_words", "low").distinct()
     order = Window.partitionBy("doc_id").orderBy("idx", "start", "length", "low")
-    runs = shared.withColumn("run", F.col("idx") - F.row_number().over(order))
+    own = F.col("low") == F.col("doc_id")
+    runs = shared.withColumn("own", own).withColumn("run", F.col("idx") - F.row_number().over(order))
+    turned = runs.withColumn("turn", (F.col("own") != F.lag("own", 1, False).over(order)).cast("int"))
+    stretches = turned.withColumn("stretch", F.sum("turn").over(order)).groupBy("doc_id", "run", "own", "stretch").agg(
+        F.min("start").alias("start"), F.max(F.col("start") + F.col("length")).alias("end"),
+        F.sum("n_words").alias("n_words"), F.min("low").alias("first_doc_id"),
+    )
     return (
-        runs.groupBy("doc_id", "run").agg(
-            F.min("start").alias("start"), F.max(F.col("start") + F.col("length")).alias("end"),
-            F.sum("n_words").alias("n_words"), F.min("low").alias("first_doc_id"),
-        )
-        .where(F.col("n_words") >= least_words)
-        .select("doc_id", "start", "end", "n_words", "first_doc_id",
-                (F.col("first_doc_id") == F.col("doc_id")).alias("kept"))
+        stretches.withColumn("in_run", F.sum("n_words").over(Window.partitionBy("doc_id", "run")))
+        .where(F.when(F.col("own"), F.col("n_words")).otherwise(F.col("in_run")) >= least_words)
+        .select("doc_id", "start", "end", "n_words", "first_doc_id", F.col("own").alias("kept"))
     )
 
 

@@ -216,6 +216,20 @@ def test_repeated_passages(docs):
     assert chunks.repeats(df.limit(0)).count() == 0
 
 
+def test_copies_that_quote_a_third_document_stay_once(docs):
+    quote, left, right = " ".join(words(60, 1)), " ".join(words(80, 2)), " ".join(words(80, 3))
+    copy = f"{left} {quote} {right}"
+    df = docs((1, f"{' '.join(words(50, 4))} {quote} {' '.join(words(50, 5))}"), (3, copy), (5, copy))
+    found = chunks.repeats(df).collect()
+    assert [sorted({r["kept"] for r in found if r["doc_id"] == i}) for i in (1, 3, 5)] == [[True], [False, True], [False]]
+    assert all(r["kept"] == (r["first_doc_id"] == r["doc_id"]) for r in found)
+    after = {r["doc_id"]: r["text"] for r in chunks.deduplicate(df, chunks.repeats(df)).collect()}
+    assert after[5] == ""
+    everything = " ".join(after.values())
+    assert all(everything.count(w) == 1 for w in set(words(80, 2)[:-8] + words(80, 3)[8:]) - set(words(60, 1)))
+    assert sum(map(len, after.values())) < len(df.where("doc_id = 1").first()["text"]) + len(left) + len(right) + 200
+
+
 def test_chunks_cover_every_text(docs):
     texts = ["", "short", "no cut " + "z" * 5000, LONG, "aé" * 3000]
     parts = chunks.chunked(docs(*enumerate(texts), (9, None))).orderBy("doc_id", "idx").collect()
