@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-from base64 import b64decode
 from collections.abc import Iterator
 
 import numpy as np
@@ -69,29 +68,26 @@ def curve_keys(column: pa.Array) -> np.ndarray:
 
 @functools.lru_cache(1)
 def encoding(vocabulary: str | None):
-    """The byte-level BPE of 50,257 ids; strings of special tokens in a text are ordinary text.
+    """The byte-level BPE of 50,257 ids from its ``tokenizers`` file, loaded once per Python worker.
 
-    Its merges are those of the ``tokenizers`` file, read as ranks; tests hold both ways to the same ids.
+    A special token's string in a text is that token, as the file has it.
     """
     import public_tokenizers
-    import tiktoken
+    from tokenizers import Tokenizer
 
-    path = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
-    with open(path, "rb") as lines:
-        ranks = {b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return Tokenizer.from_file(vocabulary or public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def tokenized(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """``uid, doc_id, key, n, ids``: token ids of each row's text, two bytes each, with the end id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(vocabulary)
+        model = encoding(vocabulary)
         uid = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in slices(batch, "text"):
                 texts = part.column("text").to_pylist()
                 ids = [
-                    np.array([*encode.encode_ordinary(x or ""), END], "<u2").tobytes() for x in texts
+                    np.array([*model.encode(x or "", add_special_tokens=False).ids, END], "<u2").tobytes() for x in texts
                 ]
                 count = len(ids)
                 yield pa.RecordBatch.from_arrays(

@@ -158,6 +158,15 @@ def test_packing(docs, spark, sf):
     assert packing.pack(df.limit(0)).count() == 0
 
 
+def test_packing_special_tokens_and_long_runs(docs):
+    texts = {1: "a<|endoftext|>b", 2: " " * 2_000_000, 3: "<|endoftext|>" * 3}
+    got = defaultdict(bytes)
+    for p in sorted(packing.pack(docs(*texts.items())).collect(), key=lambda p: (p["doc_id"], p["start"])):
+        got[p["doc_id"]] += p["ids"]
+    got = {i: np.frombuffer(x, "<u4").tolist() for i, x in got.items()}
+    assert got == {1: [64, 50256, 65, 1], 2: [220] * 2_000_000 + [1], 3: [50256] * 3 + [1]}
+
+
 def test_hilbert_walks_to_neighbours():
     side = np.arange(16)
     grid = np.stack(np.meshgrid(side, side, side), -1).reshape(-1, 3)
