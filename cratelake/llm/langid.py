@@ -17,7 +17,7 @@ GRAMS = 20_000  # a language keeps n-grams that make up at least one in so many
 GRAM = 4  # bytes
 SLOTS = 1 << 21
 PROBES = 3
-LANGUAGES = 64  # bits of a slice
+LANGUAGES = 64  # bits of a slice; more languages have further tables
 
 _U = np.uint64
 _PLAIN = LOWER.copy()
@@ -61,32 +61,58 @@ def _slots(gram: np.ndarray) -> list[np.ndarray]:
 
 
 class Filters:
-    """The learned filters: ``table[slot]`` has a bit for each language."""
+    """The learned filters: in each of ``tables``, ``table[slot]`` has a bit for each of its languages.
+
+    A table holds up to ``LANGUAGES`` languages, in the order of ``names``.
+    """
 
     def __init__(self, names: list[str], grams: list[np.ndarray]):
-        kind = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if len(names) <= np.iinfo(t).bits)
         self.names = names
-        self.table = np.zeros(SLOTS, kind)
-        for bit, own in enumerate(grams):
-            for slot in _slots(own):
-                self.table[slot] |= kind(1 << bit)
-        filled = [np.count_nonzero(self.table & kind(1 << i)) / SLOTS for i in range(len(names))]
-        self.chance = np.array(filled) ** PROBES
-
-    def shares(self, column: pa.Array) -> np.ndarray:
-        """The part of each text's n-grams each language has, less false positives."""
+        self.tables, self.chances = [], []
+        for at in range(0, len(names), LANGUAGES):
+            group = grams[at:at + LANGUAGES]
+            kind = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if len(group) <= np.iinfo(t).bits)
+            table = np.zeros(SLOTS, kind)
+            for bit, own in enumerate(group):
+                for slot in _slots(own):
+                    table[slot] |= kind(1 << bit)
+            filled = [np.count_nonzero(table & kind(1 << i)) / SLOTS for i in range(len(group))]
+            self.tables.append(table)
+            self.chances.append(np.array(filled) ** PROBES)
+
+    def _parts(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The shares of each table's languages in turn, a row per text."""
         gram, owner = _grams(column)
         first, *more = _slots(gram)
-        found = self.table[first]
-        for slot in more:
-            found &= self.table[slot]
         n = len(column)
         total = np.maximum(np.bincount(owner, minlength=n), 1)
-        kind = self.table.dtype.type
-        hits = np.stack(
-            [np.bincount(owner[(found & kind(1 << i)) > 0], minlength=n) for i in range(len(self.names))], 1
-        )
-        return np.clip((hits / total[:, None] - self.chance) / (1 - self.chance), 0, 1)
+        for table, chance in zip(self.tables, self.chances):
+            found = table[first]
+            for slot in more:
+                found &= table[slot]
+            kind = table.dtype.type
+            hits = np.stack(
+                [np.bincount(owner[(found & kind(1 << i)) > 0], minlength=n) for i in range(len(chance))], 1
+            )
+            yield np.clip((hits / total[:, None] - chance) / (1 - chance), 0, 1)
+
+    def shares(self, column: pa.Array) -> np.ndarray:
+        """The part of each text's n-grams each language has, less false positives."""
+        return np.concatenate(list(self._parts(column)), 1)
+
+    def best(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text the first language with the largest share, that share, and the sum of all.
+
+        One table's shares at a time are in memory.
+        """
+        n = len(column)
+        best, most, total = np.zeros(n, np.int64), np.full(n, -1.0), np.zeros(n)
+        for i, share in enumerate(self._parts(column)):
+            ahead = share.max(1) > most
+            best = np.where(ahead, i * LANGUAGES + share.argmax(1), best)
+            most = np.maximum(most, share.max(1))
+            total += share.sum(1)
+        return best, most, total
 
 
 def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Filters:
@@ -95,10 +121,10 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Filters:
     A language with more documents is learned from a share of them, chosen by a hash of the
     doc_id, so that about ``per_language`` are read. N-grams are counted in the tasks and summed by
     Spark; at most ``GRAMS`` of a language pass the bar, and only those reach the driver.
-    At most 64 languages, the most frequent, are learned.
+    Every language is learned, however many there are; a table of 64 takes 16 MB.
     """
     known = docs.where("lang is not null and text is not null")
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    sizes = known.groupBy("lang").count().collect()
     if not sizes:
         return Filters([], [])
     shares = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, per_language / r["count"]))])
@@ -129,8 +155,9 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Filters:
         .select("lang", "gram").toArrow()
     )
     names = sorted(x["lang"] for x in sizes)
-    lang, gram = rows["lang"].to_numpy(zero_copy_only=False), rows["gram"].to_numpy().astype(np.uint64)
-    return Filters(names, [gram[lang == x] for x in names])
+    code = np.searchsorted(np.array(names, object), rows["lang"].to_numpy(zero_copy_only=False))
+    gram = rows["gram"].to_numpy().astype(np.uint64)[np.argsort(code, kind="stable")]
+    return Filters(names, np.split(gram, np.cumsum(np.bincount(code, minlength=len(names)))[:-1]))
 
 
 def predict(docs: DataFrame, filters: Filters, extra: dict[str, Column] | None = None) -> DataFrame:
@@ -158,9 +185,9 @@ def predict(docs: DataFrame, filters: Filters, extra: dict[str, Column] | None =
                 best = np.full(len(known), len(filters.names))
                 score = np.zeros(len(known))
                 if filters.names:
-                    share = filters.shares(part.column("text"))
-                    best = np.where(known, share.argmax(1), best)
-                    score = np.where(known, share.max(1) / np.maximum(share.sum(1), 1e-12), 0.0)
+                    first, most, total = filters.best(part.column("text"))
+                    best = np.where(known, first, best)
+                    score = np.where(known, most / np.maximum(total, 1e-12), 0.0)
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(x) for x in keep), pa.array(names[best].tolist(), pa.string()), pa.array(score)],
                     names=[*keep, "lang_pred", "score"],

@@ -98,6 +98,20 @@ def test_language_edges(docs):
     assert {r["lang_pred"] for r in langid.predict(ask, none).collect()} == {"und"}
 
 
+def test_more_languages_than_a_table_has_bits(docs):
+    own = {f"l{k:03}": " ".join(words(12, 7000 + k)) for k in range(130)}
+    rows = [(2 * k + i, text, lang) for k, (lang, text) in enumerate(own.items()) for i in range(1 + (k < 64))]
+    filters = langid.learn(docs(*rows))
+    assert filters.names == sorted(own)
+    got = {r["doc_id"]: r for r in langid.predict(docs(*rows), filters).collect()}
+    assert all(got[i]["lang_pred"] == lang and 0 < got[i]["score"] <= 1 for i, _, lang in rows)
+    column = docs(*rows).select("text").toArrow()["text"].combine_chunks()
+    shares = filters.shares(column)
+    best, most, total = filters.best(column)
+    assert shares.shape == (len(rows), 130) and (best == shares.argmax(1)).all() and (most == shares.max(1)).all()
+    assert np.allclose(total, shares.sum(1))
+
+
 def test_language_filters_hold_every_gram(docs):
     filters = langid.learn(docs(*[(i, "alpha beta gamma", "xx") for i in range(3)]))
     assert filters.shares(docs((1, "gamma alpha")).select("text").toArrow()["text"].combine_chunks())[0, 0] > 0.7
