@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cratelake.llm import chunks, langid, minhash, mixing, neighbours, packing, pii, quality, toxicity, urls
+from cratelake.llm import chunks, langid, minhash, mixing, neighbours, ngrams, packing, pii, quality, toxicity, urls
 from cratelake.llm.ship import ship
 
 
@@ -89,6 +89,14 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
 
 
+def op11_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(_fold(3) == 1, F.lit(False))
+    model = ngrams.train(docs.where(~held), table(spark, sf_dir, "labels"), "quality")
+    scored = ngrams.score(docs, model, {"held_out": held})
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 QUERIES = {
     "op1_urls": op1_urls,
     "op2_langid": op2_langid,
@@ -100,4 +108,5 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_packing": op9_packing,
     "op10_neighbours": op10_neighbours,
+    "op11_ngrams": op11_ngrams,
 }
