@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cratelake.llm import chunks, langid, minhash, mixing, neighbours, ngrams, packing, pii, quality, toxicity, urls
+from cratelake.llm import alignment, chunks, langid, minhash, mixing, neighbours, ngrams, packing, pii, quality, toxicity, urls
 from cratelake.llm.ship import ship
 
 
@@ -97,6 +97,10 @@ def op11_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_urls": op1_urls,
     "op2_langid": op2_langid,
@@ -109,4 +113,5 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_neighbours": op10_neighbours,
     "op11_ngrams": op11_ngrams,
+    "op12_alignment": op12_alignment,
 }
