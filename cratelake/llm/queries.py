@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cratelake.llm import alignment, chunks, langid, minhash, mixing, neighbours, ngrams, packing, pii, quality, toxicity, urls
+from cratelake.llm import alignment, chunks, langid, lexical, minhash, mixing, neighbours, ngrams, packing, pii, quality, toxicity, urls
 from cratelake.llm.ship import ship
 
 
@@ -101,6 +101,11 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.report(table(spark, sf_dir, "documents"))
 
 
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical.build(table(spark, sf_dir, "documents"))
+    return lexical.search(index, table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {
     "op1_urls": op1_urls,
     "op2_langid": op2_langid,
@@ -114,4 +119,5 @@ QUERIES = {
     "op10_neighbours": op10_neighbours,
     "op11_ngrams": op11_ngrams,
     "op12_alignment": op12_alignment,
+    "op13_lexical": op13_lexical,
 }

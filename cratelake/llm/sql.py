@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cratelake.llm import mixing, pii, urls
+from cratelake.llm import lexical, mixing, pii, urls
 
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -181,4 +181,29 @@ def _op8() -> str:
     FROM numbered LEFT JOIN told USING (row)"""
 
 
-ORACLES = {"op1_urls": _op1(), "op3_minhash": OP3, "op6_mixing": OP6, "op8_pii": _op8()}
+def _op13() -> str:
+    terms = f"regexp_extract_all(translate(text, '{_UP}', '{_LOW}'), '{lexical.TERM}')"
+    return f"""
+    WITH cut AS (SELECT row_number() OVER () AS place, doc_id, {terms} AS terms FROM documents),
+    sizes AS (SELECT place, doc_id, len(terms) AS n FROM cut WHERE len(terms) > 0),
+    totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM sizes),
+    asked AS (SELECT DISTINCT item_id, unnest({terms}) AS term FROM benchmark),
+    held AS (
+        SELECT place, term, count(*) AS tf FROM (SELECT place, unnest(terms) AS term FROM cut)
+        WHERE term IN (SELECT term FROM asked) GROUP BY place, term),
+    weights AS (
+        SELECT term, CAST(floor(1000.0 * ln((2.0 * docs + 2.0) / (2.0 * df + 1.0))) AS BIGINT) AS w
+        FROM (SELECT term, count(*) AS df FROM held GROUP BY term), totals),
+    scored AS (
+        SELECT item_id, place, doc_id,
+               CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // words)))) AS BIGINT) AS score
+        FROM asked JOIN weights USING (term) JOIN held USING (term) JOIN sizes USING (place), totals
+        GROUP BY item_id, place, doc_id)
+    SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+    WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST, place)
+    QUALIFY row_number() OVER best <= 10"""
+
+
+ORACLES = {
+    "op1_urls": _op1(), "op3_minhash": OP3, "op6_mixing": OP6, "op8_pii": _op8(), "op13_lexical": _op13(),
+}
