@@ -1,13 +1,12 @@
 """Tokens of one vocabulary against tokens of another: groups between the places where both end.
 
 Such places are found by dividing: near the middle of a stretch a common end is looked up by
-bisection, and both halves are divided again; a stretch without one is a group.
+bisection, and both halves are divided again; what lies between without one is a group.
 """
 
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,25 +22,55 @@ from cratelake.llm.tokens import Memo, byte_level, joined, pieces, word_pieces
 COUNT_ROWS = 4_000  # documents whose links are counted at a time
 
 
-def common_ends(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Index pairs of the ends that rising ``a`` and ``b`` share, in order."""
-    found = []
-    stretches = [(0, len(a), 0, len(b))]
-    while stretches:
-        lo, hi, low, high = stretches.pop()
-        if lo >= hi or low >= high:
-            continue
+def common_ends(a: np.ndarray, b: np.ndarray, first_a: np.ndarray, first_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of the ends that rising ``a`` and ``b`` share, in order.
+
+    Stretch n is ``a[first_a[n]:first_a[n + 1]]`` and the same of ``b``. All stretches are divided together: where
+    the middle end of ``a`` is none of ``b``, its neighbours are looked up in rings of doubling width.
+    """
+    lo, hi, low, high = first_a[:-1], first_a[1:], first_b[:-1], first_b[1:]
+    found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    while len(lo):
         middle = (lo + hi) // 2
-        for step in range(2 * max(middle - lo + 1, hi - middle)):  # middle, one after it, one before it, …
-            i = middle + (step + 1) // 2 * (1 if step % 2 else -1)
-            if not lo <= i < hi:
-                continue
-            j = bisect_left(b, a[i], low, high)
-            if j < high and b[j] == a[i]:
-                found.append((i, j))
-                stretches += [(lo, i, low, j), (i + 1, hi, j + 1, high)]
-                break
-    return sorted(found)
+        cut, at = np.full(len(lo), -1), np.zeros(len(lo), np.int64)
+        open_, ring = np.flatnonzero((lo < hi) & (low < high)), np.zeros(1, np.int64)
+        width = 1
+        while len(open_):
+            i = middle[open_, None] + ring
+            inside = (i >= lo[open_, None]) & (i < hi[open_, None])
+            i = np.where(inside, i, middle[open_, None])
+            j = np.searchsorted(b, a[i])
+            hit = inside & (b[np.minimum(j, len(b) - 1)] == a[i])
+            some, which = hit.any(1), hit.argmax(1)
+            rows = np.flatnonzero(some)
+            cut[open_[rows]], at[open_[rows]] = i[rows, which[rows]], j[rows, which[rows]]
+            rest = open_[~some]
+            open_ = rest[np.maximum(middle[rest] - lo[rest], hi[rest] - 1 - middle[rest]) >= width]
+            steps = np.arange(width, 2 * width)
+            ring, width = np.stack([steps, -steps], 1).ravel(), 2 * width
+        done = cut >= 0
+        lo, hi, low, high, cut, at = (x[done] for x in (lo, hi, low, high, cut, at))
+        found_a.append(cut)
+        found_b.append(at)
+        lo, hi = np.concatenate([lo, cut + 1]), np.concatenate([cut, hi])
+        low, high = np.concatenate([low, at + 1]), np.concatenate([at, high])
+    i, j = np.concatenate(found_a), np.concatenate(found_b)
+    order = np.argsort(i)
+    return i[order], j[order]
+
+
+class Tokens:
+    """Token ids of pieces one after the other, and where their bytes end."""
+
+    def __init__(self, ids: list[list[int]], table: list[bytes], sizes: np.ndarray):
+        self.ids = np.fromiter((i for x in ids for i in x), np.int64)
+        self.first = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
+        self.ends = np.cumsum(sizes[self.ids])
+        text, begins = joined(table, self.ids)
+        self.text, self.begins = text, begins[self.first]
+
+    def spells(self, n: int, piece: bytes) -> bool:
+        return self.text[self.begins[n]:self.begins[n + 1]] == piece
 
 
 class Aligner:
@@ -55,24 +84,39 @@ class Aligner:
         self.a, self.b = byte_level(a, plain=True), word_pieces(b)
         self.inner = self.a.inner and self.b.inner
         self.bytes_a, self.bytes_b = self.a.token_bytes(), self.b.token_bytes()
+        self.sizes_a, self.sizes_b = (np.array([len(x) for x in t]) for t in (self.bytes_a, self.bytes_b))
+        many = max(len(self.bytes_a), len(self.bytes_b))
+        self.many = many
+        self.shown = pa.array([f"{i}{mark}" for mark in ",|;" for i in range(many)], pa.large_binary())
         self.memo = Memo(self._align)
 
     def _align(self, found: list[bytes]) -> list[tuple[bool, int, int, int, bytes, bytes]]:
         texts = [x.decode() for x in found]
-        return [self._groups(*x) for x in zip(found, self.a.ids(texts), self.b.ids(texts))]
-
-    def _groups(self, piece: bytes, a: list[int], b: list[int]) -> tuple[bool, int, int, int, bytes, bytes]:
-        tokens_a, tokens_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(tokens_a) != piece or b"".join(tokens_b) != piece:
-            return False, 0, 0, 0, b"", b""
-        ends = [np.cumsum([len(x) for x in tokens]).tolist() for tokens in (tokens_a, tokens_b)]
-        cuts = common_ends(*ends)
-        shown, i, j = [], 0, 0
-        for to, upto in cuts:
-            shown.append(",".join(map(str, a[i:to + 1])) + "|" + ",".join(map(str, b[j:upto + 1])) + ";")
-            i, j = to + 1, upto + 1
-        links = np.array([a[i] * self.b.size + b[j] for i, j in cuts], np.int64)
-        return True, len(a), len(b), len(cuts), "".join(shown).encode(), links.tobytes()
+        ids_a, ids_b = self.a.ids(texts), self.b.ids(texts)
+        a, b = Tokens(ids_a, self.bytes_a, self.sizes_a), Tokens(ids_b, self.bytes_b, self.sizes_b)
+        fine = [a.spells(n, x) and b.spells(n, x) for n, x in enumerate(found)]
+        if not all(fine):
+            given = iter(self._align([x for x, ok in zip(found, fine) if ok]) if any(fine) else [])
+            return [next(given) if ok else (False, 0, 0, 0, b"", b"") for ok in fine]
+        i, j = common_ends(a.ends, b.ends, a.first, b.first)
+        links = a.ids[i] * self.b.size + b.ids[j]
+        # Tokens in the order they are shown: a group's of ``a``, then its of ``b``.
+        in_a, in_b = np.diff(i, prepend=-1), np.diff(j, prepend=-1)
+        group_a, group_b = np.repeat(np.arange(len(i)), in_a), np.repeat(np.arange(len(i)), in_b)
+        marked = np.zeros(len(a.ids) + len(b.ids), np.int64)
+        marks_a, marks_b = np.zeros(len(a.ids), np.int64), np.zeros(len(b.ids), np.int64)
+        marks_a[i], marks_b[j] = 1, 2
+        marked[np.arange(len(a.ids)) + (np.cumsum(in_b) - in_b)[group_a]] = a.ids + self.many * marks_a
+        marked[np.arange(len(b.ids)) + np.cumsum(in_a)[group_b]] = b.ids + self.many * marks_b
+        taken = self.shown.take(pa.array(marked))
+        text = memoryview(taken.buffers()[2]) if len(taken) else memoryview(b"")
+        at = np.frombuffer(taken.buffers()[1], np.int64)[a.first + b.first].tolist() if len(taken) else [0] * (len(found) + 1)
+        cuts = np.searchsorted(i, a.first).tolist()
+        return [
+            (True, n_a, n_b, to - since, bytes(text[low:high]), links[since:to].tobytes())
+            for n_a, n_b, since, to, low, high in zip(
+                np.diff(a.first).tolist(), np.diff(b.first).tolist(), cuts, cuts[1:], at, at[1:])
+        ]
 
     def slice(self, column: pa.Array) -> dict[str, np.ndarray | tuple]:
         """Of every text: tokens, groups, the groups as text, and its links."""
@@ -80,7 +124,7 @@ class Aligner:
         some = np.diff(offsets) > 0
         data = np.insert(data, offsets[:-1][some], 0x20)  # a blank before each text that is not empty
         offsets = offsets + np.concatenate([[0], np.cumsum(some)])
-        found, first = pieces(data, offsets, self.inner)
+        found, first = pieces(data, offsets, self.inner, self.b.points)
         coded = found.dictionary_encode()
         codes = coded.indices.to_numpy().astype(np.int64)
         known = self.memo(coded.dictionary.to_pylist())

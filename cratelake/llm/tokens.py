@@ -1,6 +1,6 @@
 """Token ids of whole texts, each distinct piece of text encoded once.
 
-Texts are cut before a single blank or line break between other characters. No token of the
+Texts are cut at single blanks and line breaks, and before points that follow a letter. No token of the
 vocabularies used here crosses such a place, so the ids of a text are those of its pieces in order;
 vocabularies for which that cannot be told from their files get whole texts as pieces.
 """
@@ -15,7 +15,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 
-MEMO_PIECES = 200_000  # pieces a worker remembers, and the bytes of the longest of them
+MEMO_PIECES = 400_000  # pieces a worker remembers, and the bytes of the longest of them
 MEMO_BYTES = 128
 
 # Bytes that surely belong to no white space of any definition: visible ASCII, and the lead bytes of
@@ -24,16 +24,24 @@ _FIRM = np.zeros(256, bool)
 _FIRM[0x21:0x7F] = True
 _FIRM[0xC3:0xF5] = True
 _FIRM[[0xE1, 0xE2, 0xE3, 0xEF]] = False
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+POINTS = b".,;:!?"
+_POINT = np.zeros(256, bool)
+_POINT[[*POINTS]] = True
+LATIN = "".join(map(chr, (*range(65, 91), *range(97, 123), *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100))))
 
 
-def pieces(data: np.ndarray, offsets: np.ndarray, inner: bool = True) -> tuple[pa.Array, np.ndarray]:
+def pieces(data: np.ndarray, offsets: np.ndarray, inner: bool = True, points: bool = True) -> tuple[pa.Array, np.ndarray]:
     """The pieces of flat texts as bytes, and which is each text's first; an empty text has none.
 
-    Without ``inner`` every text is one piece.
+    Texts are cut before a single blank, on both sides of a single line break, and with ``points`` between a
+    Latin letter and a point after it. Without ``inner`` every text is one piece.
     """
     heads = offsets[:-1][np.diff(offsets) > 0]
     starts = heads
     if inner and len(data):
+        edge = np.zeros(len(data) + 1, bool)
         at = np.flatnonzero((data == 0x20) | (data == 0x0A))
         at = at[(at > 0) & (at < len(data) - 1)]
         at = at[_FIRM[data[at + 1]]]
@@ -41,9 +49,14 @@ def pieces(data: np.ndarray, offsets: np.ndarray, inner: bool = True) -> tuple[p
         for _ in range(3):  # back over the bytes that go on a character
             lead = np.where((data[lead] & 0xC0) == 0x80, np.maximum(lead - 1, 0), lead)
         at = at[_FIRM[data[lead]]]
-        edge = np.zeros(len(data) + 1, bool)
         edge[at] = True
-        edge[heads[heads > 0] - 1] = False  # what follows there is another text's
+        edge[at + 1] = data[at] == 0x0A
+        edge[np.concatenate([heads[heads > 0] - 1, heads])] = False  # what follows there is another text's
+        if points:
+            at = np.flatnonzero(_POINT[data])
+            at = at[at > 0]
+            last, before = data[at - 1], data[np.maximum(at - 2, 0)]
+            edge[at] |= _LETTER[last] | ((before == 0xC3) & (last >= 0x80) & (last != 0x97) & (last != 0xB7))
         edge[heads] = True
         starts = np.flatnonzero(edge[:len(data)])
     ends = np.append(starts, len(data)).astype(np.int64)
@@ -53,20 +66,26 @@ def pieces(data: np.ndarray, offsets: np.ndarray, inner: bool = True) -> tuple[p
 
 
 class Memo:
-    """What ``make`` gives for distinct pieces; short ones are remembered from call to call."""
+    """What ``make`` gives for distinct pieces; short ones are remembered from call to call.
+
+    Pieces that were asked for since half of the room was filled stay when it is filled again.
+    """
 
     def __init__(self, make: Callable[[list[bytes]], list]):
         self.make = make
-        self.known: dict[bytes, object] = {}
+        self.new: dict[bytes, object] = {}
+        self.old: dict[bytes, object] = {}
 
     def __call__(self, found: list[bytes]) -> list:
-        new = [x for x in found if x not in self.known]
-        made = dict(zip(new, self.make(new))) if new else {}
-        values = [made[x] if x in made else self.known[x] for x in found]
-        short = {x: v for x, v in made.items() if len(x) <= MEMO_BYTES}
-        if len(self.known) + len(short) > MEMO_PIECES:
-            self.known = {}
-        self.known.update(short)
+        new, old = self.new, self.old
+        lacking = [x for x in found if x not in new and x not in old]
+        made = dict(zip(lacking, self.make(lacking))) if lacking else {}
+        values = [made[x] if x in made else new[x] if x in new else old[x] for x in found]
+        for x, value in zip(found, values):
+            if len(x) <= MEMO_BYTES:
+                new[x] = value
+        if len(new) > MEMO_PIECES // 2:
+            self.new, self.old = {}, new
         return values
 
 
@@ -77,7 +96,7 @@ def joined(values: list[bytes], codes: np.ndarray) -> tuple[memoryview, np.ndarr
     taken = pa.array(values, pa.large_binary()).take(pa.array(codes, pa.int64()))
     begins = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset:taken.offset + len(taken) + 1]
     body = taken.buffers()[2]
-    return memoryview(body) if body else memoryview(b""), begins
+    return memoryview(body).cast("B") if body else memoryview(b""), begins
 
 
 class ByteLevel:
@@ -131,16 +150,19 @@ class WordPieces:
         self.blank = self.model.piece_to_id("▁")
         self.inner = (
             not any("\n" in x or "▁" in x.lstrip("▁") for x in names)
-            and self.model.encode("\n")[:1] == [self.blank] and self.model.encode("  a ")[-1:] == [self.blank]
+            and len(self.model.encode("\n")) == 2 and self.model.encode("  a ")[-1:] == [self.blank]
         )
+        across = {x + chr(p) for x in LATIN for p in POINTS}
+        self.points = not any(name[i:i + 2] in across for name in names for i in range(len(name) - 1))
 
     def ids(self, texts: list[str]) -> list[list[int]]:
-        """Ids of texts that begin with a blank, or with a line break if they go on another one.
+        """Ids of pieces of texts.
 
-        The model's own blank stands for the text's first, or is taken away again.
+        The model's own blank stands for the piece's first. A piece without one is encoded after a line break,
+        and blank and line break are taken away again.
         """
-        given = self.model.encode([x[1:] if x[0] == " " else x for x in texts], num_threads=1)
-        return [ids if text[0] == " " else ids[1:] for text, ids in zip(texts, given)]
+        given = self.model.encode([x[1:] if x[0] == " " else "\n" + x for x in texts], num_threads=1)
+        return [ids if text[0] == " " else ids[2:] for text, ids in zip(texts, given)]
 
     def token_bytes(self) -> list[bytes]:
         out = []

@@ -120,11 +120,17 @@ def test_report_of_the_table(spark, sf):
 @pytest.mark.parametrize("seed", range(3))
 def test_common_ends(seed):
     rng = np.random.default_rng(seed)
-    for n in (0, 1, 2, 7, 300):
-        a, b = (sorted(rng.choice(3 * n + 1, n, replace=False).tolist()) for _ in range(2))
-        both = set(a) & set(b)
-        assert alignment.common_ends(a, b) == [(a.index(x), b.index(x)) for x in sorted(both)]
-    assert alignment.common_ends([*range(0, 40_000, 2)], [*range(1, 40_000, 2)]) == []
+    a, b, first, want, base = [], [], [[0], [0]], [], 0
+    for n in (0, 1, 2, 7, 300, 3, 0, 40):
+        own = [np.sort(rng.choice(3 * n + 1, n, replace=False)) + base for _ in range(2)]
+        want += [(len(a) + int(np.flatnonzero(own[0] == x)[0]), len(b) + int(np.flatnonzero(own[1] == x)[0])) for x in np.intersect1d(*own)]
+        a, b, base = [*a, *own[0]], [*b, *own[1]], base + 3 * n + 2
+        first[0].append(len(a))
+        first[1].append(len(b))
+    i, j = alignment.common_ends(*(np.array(x, np.int64) for x in (a, b, *first)))
+    assert list(zip(i.tolist(), j.tolist())) == want
+    even, ends = np.arange(0, 400_000, 2), np.array([0, 200_000])
+    assert not len(alignment.common_ends(even, even + 1, ends, ends)[0])
 
 
 def test_links_are_bounded_by_the_vocabularies():
