@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from cratelake.llm.prefix import running_total
 from cratelake.llm.store import stored
 from cratelake.llm.text import LOWER, Words, flat, mix, slices
+from cratelake.llm.tokens import Memo, byte_level, joined, pieces
 
 LENGTH = 2048
 END = 1  # id after each document
@@ -67,34 +68,37 @@ def curve_keys(column: pa.Array) -> np.ndarray:
 
 
 @functools.lru_cache(1)
-def encoding(vocabulary: str | None):
-    """The byte-level BPE of 50,257 ids from its ``tokenizers`` file, loaded once per Python worker.
+def encoder(vocabulary: str | None) -> Memo:
+    """Ids of pieces of text as bytes, by the vocabulary's ``tokenizers`` file, kept per Python worker.
 
     A special token's string in a text is that token, as the file has it.
     """
-    import public_tokenizers
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(vocabulary or public_tokenizers.path("byte_bpe_50k.json"))
+    model = byte_level(vocabulary)
+    return Memo(lambda found: [np.array(x, model.width).tobytes() for x in model.ids([x.decode() for x in found])])
 
 
 def tokenized(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """``uid, doc_id, key, n, ids``: token ids of each row's text, two bytes each, with the end id."""
+    """``uid, doc_id, key, n, ids``: token ids of each row's text with the end id, two bytes each, or four for large vocabularies."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = encoding(vocabulary)
+        model, encode = byte_level(vocabulary), encoder(vocabulary)
+        end, width = np.array([END], model.width).tobytes(), np.dtype(model.width).itemsize
         uid = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in slices(batch, "text"):
-                texts = part.column("text").to_pylist()
-                ids = [
-                    np.array([*model.encode(x or "", add_special_tokens=False).ids, END], "<u2").tobytes() for x in texts
-                ]
-                count = len(ids)
+                found, first = pieces(*flat(part.column("text")), model.inner)
+                coded = found.dictionary_encode()
+                values = [*encode(coded.dictionary.to_pylist()), end]
+                count = len(part)
+                codes = np.insert(coded.indices.to_numpy().astype(np.int64), first[1:], len(values) - 1)
+                body, begins = joined(values, codes)
+                at = begins[first + np.arange(count + 1)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.arange(uid, uid + count)), part.column("doc_id").cast(pa.int64()),
                         pa.array(curve_keys(part.column("text")).astype(np.int64)),
-                        pa.array(np.array([len(x) // 2 for x in ids], np.int64)), pa.array(ids, pa.binary()),
+                        pa.array(np.diff(at) // width),
+                        pa.LargeBinaryArray.from_buffers(
+                            pa.large_binary(), count, [None, pa.py_buffer(at), pa.py_buffer(body)]).cast(pa.binary()),
                     ],
                     names=["uid", "doc_id", "key", "n", "ids"],
                 )
@@ -119,13 +123,15 @@ def pack(docs: DataFrame, length: int = LENGTH, vocabulary: str | None = None) -
     at = running_total(rows.select("uid", "key", "n"), ["key", "uid"], "n", "at").select("uid", "at")
     placed = rows.join(at, "uid").select("doc_id", "n", "ids", "at")
 
+    width = byte_level(vocabulary).width
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, len(batch), OUT_ROWS):
                 part = batch.slice(low, OUT_ROWS)
                 out: list[list] = [[] for _ in range(7)]
                 for doc, n, ids, at in zip(*(part.column(x).to_pylist() for x in ("doc_id", "n", "ids", "at"))):
-                    ids = np.frombuffer(ids, "<u2").astype("<u4").tobytes()
+                    ids = np.frombuffer(ids, width).astype("<u4").tobytes()
                     begin = 0
                     while begin < n:
                         sequence, offset = divmod(at + begin, length)
