@@ -25,6 +25,7 @@ from cratelake.llm.text import LOWER, Words, flat, slices
 SHARD_BYTES = 16 << 20  # text of a shard, at least; a longer text is a shard's last one
 BLOCK = 128  # postings
 QUERY_TERMS = 200_000  # distinct terms of the queries that are taken together
+MOST_TASKS = 20_000  # for the search of a block of queries; each has as many shards as it must
 FEW_TERMS = 1_000_000  # distinct terms up to this many are broadcast to find their lists
 
 # Fixed values of the contract: what parts terms, and the letters that are lower-cased.
@@ -154,6 +155,7 @@ class Index:
     table: DataFrame
     n_docs: int
     n_terms: int
+    n_shards: int
 
 
 def build(docs: DataFrame) -> Index:
@@ -178,7 +180,8 @@ def build(docs: DataFrame) -> Index:
         if held:
             yield closed()
 
-    return Index(stored(docs.select("doc_id", "text").mapInArrow(run, _INDEX), "lists"), n_docs, n_terms)
+    table = stored(docs.select("doc_id", "text").mapInArrow(run, _INDEX), "lists")
+    return Index(table, n_docs, n_terms, table.where("term = ''").count())
 
 
 class PostingList:
@@ -219,13 +222,14 @@ def best_of_shard(lists: list[PostingList], m: np.ndarray, k: int, least: int) -
     lists = sorted(lists, key=lambda x: -x.bound)
     left = np.append(np.cumsum([x.bound for x in lists][::-1])[::-1], 0)  # what lists i and on can add
     total = np.zeros(len(m), np.int64)
-    least = max(least, 1)
+    least, top = max(least, 1), 0
     for i, own in enumerate(lists):
         if left[i] < least:
             break
         docs, added = own.read(m)
         total[docs] += added
-        if k < len(m):
+        top = max(top, int(total[docs].max()))
+        if k < len(m) and top > max(least, left[i + 1]):  # otherwise the k-th best says nothing yet
             least = max(least, int(np.partition(total, len(m) - k)[len(m) - k]))
     else:
         i = len(lists)
@@ -263,8 +267,11 @@ class Heap:
         self.rows = sorted(self.rows + new)[:self.k]
 
 
-def _search_block(lists: DataFrame, queries: list[tuple[str, list[str], list[int]]], k: int) -> DataFrame:
-    """``query, doc_id, score``: the best of each task's shards for each of the given queries."""
+def _search_block(lists: DataFrame, tasks: int, queries: list[tuple[str, list[str], list[int]]], k: int) -> DataFrame:
+    """``query, doc_id, score``: the best of each task's shards for each of the given queries.
+
+    The work follows the shards, not the bytes of their lists, so the number of tasks is set.
+    """
     shared = lists.sparkSession.sparkContext.broadcast(queries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,7 +302,7 @@ def _search_block(lists: DataFrame, queries: list[tuple[str, list[str], list[int
             [pa.array([x[j] for x in out], pa.int64() if j else pa.string()) for j in range(3)], names=["query", "doc_id", "score"]
         )
 
-    return lists.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, "query string, doc_id long, score long")
+    return lists.repartition(tasks, "shard").sortWithinPartitions("shard").mapInArrow(run, "query string, doc_id long, score long")
 
 
 def _weighted(index: Index, queries: DataFrame) -> DataFrame:
@@ -343,7 +350,8 @@ def search(index: Index, queries: DataFrame, k: int = 10) -> DataFrame:
         ]
         if listed:
             needed = _listed(own.select("term").distinct().unionByName(spark.createDataFrame([("",)], "term string")))
-            found = found.unionByName(_search_block(index.table.join(needed, "term", "left_semi"), listed, k))
+            lists = index.table.join(needed, "term", "left_semi")
+            found = found.unionByName(_search_block(lists, max(1, min(index.n_shards, MOST_TASKS)), listed, k))
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last()))
     best = found.withColumn("rank", rank).where(F.col("rank") <= k)
     named = weighted.select("query", "item_id").distinct()
