@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cratelake.llm.components import components
@@ -66,8 +66,13 @@ def _lists(rows: np.ndarray, filled: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(ends, pa.array(rows.T.reshape(-1).view(np.int64)))
 
 
+def digest_of(text: Column) -> Column:
+    """A text's 128-bit name, which with the doc_id tells rows apart unless they are equal in both."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
 def sketch(docs: DataFrame, bands: int) -> DataFrame:
-    """``doc_id, n_shingles, cls, bands``: size of each row's set, the set's name, a hash per band.
+    """``doc_id, digest, n_shingles, cls, bands``: each row's text's name, size of its set, the set's name, a hash per band.
 
     Documents with the same set of shingles have the same ``cls``; it is null for an empty set.
     """
@@ -79,14 +84,15 @@ def sketch(docs: DataFrame, bands: int) -> DataFrame:
             band[i // BAND_ROWS] = mix(band[i // BAND_ROWS] ^ row) + _U(i)
         return pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id").cast(pa.int64()), pa.array(counts.astype(np.int64)),
+                batch.column("doc_id").cast(pa.int64()), batch.column("digest"), pa.array(counts.astype(np.int64)),
                 pa.array(names.view(np.int64), mask=counts == 0), _lists(band, counts > 0),
             ],
-            names=["doc_id", "n_shingles", "cls", "bands"],
+            names=["doc_id", "digest", "n_shingles", "cls", "bands"],
         )
 
     return map_slices(
-        docs.select("doc_id", "text"), sketched, "doc_id long, n_shingles long, cls long, bands array<long>"
+        docs.select("doc_id", digest_of(F.col("text")).alias("digest"), "text"), sketched,
+        "doc_id long, digest binary, n_shingles long, cls long, bands array<long>",
     )
 
 
@@ -153,18 +159,32 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     Documents whose sets of distinct five-word shingles have a similarity of ``percent`` or more
     are linked, and ``component_id`` is the smallest doc_id that links reach.
 
+    Null or empty texts, and texts of white space, have no shingle and are linked with nothing;
+    their component is their doc_id. A null doc_id never names a component: its row takes the
+    smallest doc_id it reaches, or null. Repeated rows count as copies. Other columns are not
+    read. An empty table gives an empty result. Sets are named by 64-bit hashes.
+    """
+    rows, named = grouped(docs, percent)
+    smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    owner = named.join(smallest, "label").select("cls", "component_id")
+    return rows.select("doc_id", "n_shingles", "cls").join(owner, "cls", "left").select(
+        "doc_id", "n_shingles",
+        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+        .alias("component_id"),
+    )
+
+
+def grouped(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, digest, n_shingles, cls`` of every row, and ``cls, doc_id, label`` of every set: its component.
+
     Rows with equal sets are one class, found by a minimum per set, and only classes go on.
     In each bucket of each band members are compared with two hubs, never with each other:
     what agrees is merged at once. Then the buckets that still hold two components or more
     are searched in full for pairs across components, with the packed signatures as part of
     the join's condition. So a link is missed only if no band agrees (one in a million at the
     threshold) or its estimate is off by four standard deviations, and only if no other path
-    joins its ends. Every link is confirmed on the full sets of both texts.
-
-    Null or empty texts, and texts of white space, have no shingle and are linked with nothing;
-    their component is their doc_id. A null doc_id never names a component: its row takes the
-    smallest doc_id it reaches, or null. Repeated rows count as copies. Other columns are not
-    read. An empty table gives an empty result. Sets are named by 64-bit hashes.
+    joins its ends. Every link is confirmed on the full sets of both texts. A class's text is that of
+    its first row by doc_id and digest, fetched by both, so that rows without an id are told apart.
     """
     threshold = percent / 100
     bands = band_count(threshold)
@@ -172,7 +192,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     known = rows.where("n_shingles > 0")
     classes = stored(
         known.select("cls", "bands").dropDuplicates(["cls"])
-        .join(known.groupBy("cls").agg(F.min("doc_id").alias("doc_id")), "cls"),
+        .join(known.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.min(_place()).alias("place")), "cls"),
         "classes",
     )
     placed = classes.select("cls", F.explode("bands").alias("bucket"))
@@ -190,8 +210,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     )
     needed = shared.select("cls").distinct()
     texts = stored(
-        classes.join(needed, "cls", "left_semi").select("cls", F.col("doc_id").alias("own"))
-        .join(docs.select("doc_id", "text"), F.col("own").eqNullSafe(F.col("doc_id")))
+        classes.join(needed, "cls", "left_semi").select(
+            "cls", F.col("place.doc_id").alias("own"), F.col("place.digest").alias("own_digest"))
+        .join(
+            docs.select("doc_id", digest_of(F.col("text")).alias("digest"), "text"),
+            F.col("own").eqNullSafe(F.col("doc_id")) & (F.col("own_digest") == F.col("digest")),
+        )
         .select("cls", "text").dropDuplicates(["cls", "text"]),
         "texts",
     )
@@ -242,30 +266,39 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     named = classes.select("cls", "doc_id").join(label, "cls", "left").select(
         "cls", "doc_id", F.coalesce("label", "cls").alias("label")
     )
-    named = stored(named, "named")
-    smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    owner = named.join(smallest, "label").select("cls", "component_id")
-    return rows.select("doc_id", "n_shingles", "cls").join(owner, "cls", "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-        .alias("component_id"),
-    )
+    return rows, stored(named, "named")
+
+
+def _place() -> Column:
+    """Order of rows: by doc_id, null last, then by digest."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
 
 
 def one_each(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each group of near-duplicates, that of the smallest doc_id.
+    """``docs`` with one row of each group of near-duplicates: its first by doc_id, null last, then by text digest.
 
-    All columns stay. A doc_id is taken to name one document: of rows that repeat it the one with
-    the least text stays. Rows with a null doc_id are neither removed nor do they remove others
-    that have one.
+    Every row is judged by its own text, so rows that share a doc_id, or have none, stay if their
+    texts are in no common group. Of rows equal in doc_id and text one stays, the least of all columns. Rows without
+    a word are in no group and all stay. Columns may have any names; an empty table gives an empty result.
     """
-    found = near_duplicates(docs, percent)
-    named = found.where("doc_id is not null")
-    gone = named.where("component_id <> doc_id").select("doc_id").distinct()
-    twice = stored(named.groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows, named = grouped(docs, percent)
+    known = stored(
+        rows.where("n_shingles > 0").join(named.select("cls", "label"), "cls").select("doc_id", "digest", "label"), "known"
+    )
+    first = known.groupBy("label").agg(F.min(_place()).alias("first"))
+    own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("digest") == F.col("first.digest"))
+    gone = known.join(first, "label").where(~own).select("doc_id", "digest").distinct()
+    twice = stored(known.groupBy("doc_id", "digest").count().where("count > 1").select("doc_id", "digest"), "twice")
+    given = docs.select(F.struct("*").alias("given")).select(
+        "given", F.col("given.doc_id").alias("id"), digest_of(F.col("given.text")).alias("name")
+    )
+
+    def same(other: DataFrame) -> Column:
+        return given["id"].eqNullSafe(other["doc_id"]) & (given["name"] == other["digest"])
+
+    left = given.join(gone, same(gone), "left_anti")
     if twice.isEmpty():
-        return left
-    least = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    again = left.join(twice, "doc_id", "left_semi").withColumn("_turn", F.row_number().over(least)).where("_turn = 1")
-    return left.join(twice, "doc_id", "left_anti").select(*docs.columns).union(again.select(*docs.columns))
+        return left.select("given.*")
+    # A group is worked out before its shuffle, a row per task, so it may be a large part of the table.
+    again = left.join(twice, same(twice), "left_semi").groupBy("id", "name").agg(F.min("given").alias("given"))
+    return left.join(twice, same(twice), "left_anti").select("given.*").union(again.select("given.*"))

@@ -1,5 +1,6 @@
 """Quality, language, toxicity, near-duplicates and repeated passages."""
 
+import hashlib
 import random
 import zlib
 
@@ -193,7 +194,48 @@ def test_near_duplicates_edges(docs):
     assert all(x["component_id"] == x["doc_id"] for x in got if not x["n_shingles"])
     assert minhash.near_duplicates(docs().limit(0), 85).count() == 0
     left = minhash.one_each(docs((7, text), (7, text), (None, text), (9, text)), 85).collect()
-    assert sorted(x["doc_id"] or -1 for x in left) == [-1, 7]
+    assert [x["doc_id"] for x in left] == [7]
+
+
+def test_one_each_judges_rows_by_their_own_text(docs):
+    x, y, z = (" ".join(words(40, seed)) for seed in (1, 2, 3))
+    left = lambda *rows: sorted(((r["doc_id"] or -1), r["text"]) for r in minhash.one_each(docs(*rows), 80).collect())
+    assert left((1, x), (1, y), (1, z)) == sorted([(1, x), (1, y), (1, z)])
+    assert left((5, z), (5, y), (3, z)) == sorted([(3, z), (5, y)])
+    assert left(*[(None, x)] * 5, (None, y)) == sorted([(-1, x), (-1, y)])
+    rows = minhash.one_each(docs((2, x), (None, x), (2, x), (2, None), (2, None), (None, "")), 80).collect()
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in rows) == sorted([("2", x), ("2", "None"), ("2", "None"), ("None", "")])
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_one_each_equals_brute_force_with_any_ids(docs, seed):
+    r = random.Random(seed)
+    texts, rows = [words(60, 100 + i) for i in range(12)], []
+    for _ in range(160):
+        text = list(r.choice(texts))
+        for _ in range(r.choice((0, 0, 1, 2, 12))):
+            text[r.randrange(len(text))] = f"new{r.random()}"
+        rows.append((r.choice((None, 1, 2, 3, r.randrange(100))), r.choice((" ".join(text), " ".join(text), None, "", "Two words"))))
+    rows += r.choices(rows, k=60)
+    component = {n: c for n, (_, c) in brute.near_duplicates([(n, t) for n, (_, t) in enumerate(rows)], 80).items()}
+    groups = {}
+    for n, (i, t) in enumerate(rows):
+        if brute.shingles(t):
+            groups.setdefault(component[n], []).append((i is None, i or 0, hashlib.md5(t.encode()).digest(), i, t))
+    want = [min(x)[3:] for x in groups.values()] + [(i, t) for i, t in rows if not brute.shingles(t)]
+    got = [(x["doc_id"], x["text"]) for x in minhash.one_each(docs(*rows), 80).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_one_each_keeps_columns_of_any_name(spark):
+    names = ["doc_id", "text", "_turn", "a.b", "given", "id", "name", "digest", "label", "first"]
+    text = " ".join(words(30))
+    rows = [(i, text if i < 3 else text[::-1], 7, i, 8, 9, 10, 11, 12, 13) for i in (2, 1, 1, 3)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{n}` {'string' if n == 'text' else 'int'}" for n in names))
+    left = minhash.one_each(df, 80)
+    assert left.columns == names
+    assert sorted(tuple(x)[2:] for x in left.collect()) == [(7, 1, 8, 9, 10, 11, 12, 13), (7, 3, 8, 9, 10, 11, 12, 13)]
+    assert minhash.one_each(df.limit(0), 80).count() == 0
 
 
 def test_components(spark):
