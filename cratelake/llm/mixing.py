@@ -15,26 +15,39 @@ SHARE = 1.5
 CAP = 2
 
 SYMBOLS = "#*$%&|<>"
+CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LEAST_QUALITY = 0.05
 FEW_SOURCES = 10_000  # up to so many, counted first, sources are broadcast to the documents
 SEED = "mix"
 
 
-def size_of(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+def words_of(text: Column) -> Column:
+    return F.coalesce(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
 
 
-def quality_of(text: Column, size: Column) -> Column:
-    """Weight of a document: words as a part of words and symbols."""
+def size_of(words: Column) -> Column:
+    return F.size(words).cast("long")
+
+
+def quality_of(text: Column, words: Column) -> Column:
+    """Weight of a document: three shares multiplied, each near 1 for running prose.
+
+    Words among words and symbols; distinct words against four times the root of all, as texts that go on
+    to say something have at least; and what is not capital letters.
+    """
+    size = F.size(words)
     symbols = F.length(text) - F.length(F.translate(text, SYMBOLS, ""))
-    share = (size + 1) / (size + 1 + F.coalesce(symbols, F.lit(0)))
-    return F.greatest(share, F.lit(LEAST_QUALITY))
+    capitals = F.length(text) - F.length(F.translate(text, CAPITALS, ""))
+    prose = (size + 1) / (size + 1 + F.coalesce(symbols, F.lit(0)))
+    news = F.least(F.lit(1.0), (F.size(F.array_distinct(words)) + 1) / (4 * F.sqrt(size + 1)))
+    calm = 1 - F.coalesce(capitals, F.lit(0)) / (F.coalesce(F.length(text), F.lit(0)) + 1)
+    return F.greatest(prose * news * calm, F.lit(LEAST_QUALITY))
 
 
-def key_of(doc_id: Column, quality: Column, seed: str = SEED) -> Column:
-    """An exponential number with rate ``quality``; its uniform source is a digest of the id."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))).cast("binary"))
-    uniform = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") + 0.5) / 2.0**52
+def key_of(doc_id: Column, text: Column, quality: Column, seed: str = SEED) -> Column:
+    """An exponential number with rate ``quality``; its uniform source is a digest of id and text."""
+    told = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text, F.lit("")))
+    uniform = (F.conv(F.substring(F.md5(told.cast("binary")), 1, 13), 16, 10).cast("long") + 0.5) / 2.0**52
     return -F.log(uniform) / quality
 
 
@@ -66,12 +79,16 @@ def targets(sizes: DataFrame) -> DataFrame:
     ).select("source", "source_rank", "source_size", "source_before", "target")
 
 
+def _key() -> Column:
+    """The key of a row of ``doc_id, text, words``."""
+    return key_of(F.col("doc_id"), F.col("text"), quality_of(F.col("text"), F.col("words")))
+
+
 def _ranked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Documents in drawing order with the words before them in their source; and the sources."""
-    size = size_of(F.col("text"))
     rows = stored(
-        docs.select("doc_id", "source", size.alias("size"), "text")
-        .select("doc_id", "source", "size", key_of(F.col("doc_id"), quality_of(F.col("text"), F.col("size"))).alias("key")),
+        docs.select("doc_id", "source", "text", words_of(F.col("text")).alias("words"))
+        .select("doc_id", "source", size_of(F.col("words")).alias("size"), _key().alias("key")),
         "sizes",
     )
     sources = stored(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"))), "targets")
@@ -110,31 +127,34 @@ def mix(docs: DataFrame) -> DataFrame:
 
 
 def draw(docs: DataFrame) -> DataFrame:
-    """The mix itself: rows of ``docs`` as often as it takes them, whole, all columns kept.
+    """The mix itself: rows of ``docs`` as often as it takes them, whole, all columns kept, whatever their names.
 
     Sources are counted first. Few are broadcast; many are joined by a shuffle, with the same rows.
 
     The document at which a source's target falls is taken once more if that leaves the source nearer
     to its target. Documents are not moved: each source's last key is found on narrow rows, and a
-    document's key is worked out again and compared with it. Rows equal in id and text go together.
+    document's key is worked out again and compared with it. Only rows equal in id and text share a key and go
+    together; without ids, different texts do not. Null and empty texts have no words and are taken as often as
+    their source is taken whole. A null source is a source; an empty table gives an empty result.
     """
     rows, sources = _ranked(docs)
     _, rest = _epochs()
     last = rows.where((F.col("before") + F.col("size") / 2 <= rest) & (F.col("size") > 0) & (rest > 0)).groupBy(
         "source_rank"
-    ).agg(F.max("key").alias("_last"))
+    ).agg(F.max("key").alias("last"))
     plan = sources.join(last, "source_rank", "left").select(
-        F.col("source").alias("_source"), _epochs()[0].alias("_whole"), "_last"
+        F.col("source").alias("own"), _epochs()[0].alias("whole"), "last"
     )
     if sources.limit(FEW_SOURCES + 1).count() <= FEW_SOURCES:
         plan = F.broadcast(plan)
-    size = size_of(F.col("text"))
-    copies = F.col("_whole") + F.when(
-        key_of(F.col("doc_id"), quality_of(F.col("text"), size)) <= F.col("_last"), 1
-    ).otherwise(0)
+    given = docs.select(F.struct("*").alias("given")).select(
+        "given", *[F.col(f"given.{x}").alias(x) for x in ("doc_id", "source", "text")],
+        words_of(F.col("given.text")).alias("words"),
+    ).select("given", "source", _key().alias("key"))
+    copies = F.col("whole") + F.when(F.col("key") <= F.col("last"), 1).otherwise(0)
     return (
-        docs.join(plan, docs["source"].eqNullSafe(plan["_source"]))
-        .withColumn("_copies", copies).where("_copies > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-        .select(*[docs[c] for c in docs.columns])
+        given.join(plan, F.col("source").eqNullSafe(F.col("own")))
+        .select("given", copies.alias("copies")).where("copies > 0")
+        .select("given", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+        .select("given.*")
     )

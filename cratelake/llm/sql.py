@@ -87,15 +87,19 @@ OP3 = rf"""
     FROM sets t JOIN sizes USING (doc_id) LEFT JOIN classes c ON t.s = c.s LEFT JOIN label ON a = c.rep"""
 
 OP6 = rf"""
-    WITH sized AS (
-        SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
-               coalesce(length(text) - length(translate(text, '{mixing.SYMBOLS}', '')), 0) AS symbols
-        FROM documents),
+    WITH cut AS (
+        SELECT doc_id, source, text, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+    sized AS (
+        SELECT doc_id, source, text, len(w) AS size, len(list_distinct(w)) AS news,
+               coalesce(length(text) - length(translate(text, '{mixing.SYMBOLS}', '')), 0) AS symbols,
+               coalesce(length(text) - length(translate(text, '{_UP}', '')), 0) AS capitals
+        FROM cut),
     keyed AS (
         SELECT doc_id, source, size,
-               -ln((CAST('0x' || substr(md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5)
-                   / 4503599627370496.0)
-               / greatest((size + 1) / (size + 1 + symbols), {mixing.LEAST_QUALITY}) AS key
+               -ln((CAST('0x' || substr(md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 13)
+                    AS BIGINT) + 0.5) / 4503599627370496.0)
+               / greatest((size + 1) / (size + 1 + symbols) * least(1.0, (news + 1) / (4 * sqrt(size + 1)))
+                          * (1 - capitals / (coalesce(length(text), 0) + 1)), {mixing.LEAST_QUALITY}) AS key
         FROM sized),
     sources AS (
         SELECT source, sum(size) AS s, row_number() OVER (ORDER BY source NULLS LAST) AS r FROM keyed GROUP BY source),
