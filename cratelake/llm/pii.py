@@ -134,17 +134,26 @@ def find(docs: DataFrame, name: str = "spans") -> DataFrame:
     Spans come by kind (email, ip, card, phone, iban, ssn), then by start. Hits of one kind do not
     overlap, those of different kinds may. A hit that fails its check is dropped and not tried again.
     The first four kinds stay whatever their score; the others need a checksum or a word nearby.
-    Null and empty texts have no span. Rows and other columns stay as they are; only a column
-    of that ``name`` is replaced.
+    Null and empty texts have no span. Rows and other columns stay as they are, whatever their names; only a
+    column of that ``name`` is replaced.
     """
+    given = F.struct(*[F.col(_quoted(c)) for c in docs.columns if c != name]).alias("given")
+    found = _found(docs.select(given, F.col("text").alias("text")))
+    return found.select("given.*", F.col("spans").alias(name))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _found(rows: DataFrame) -> DataFrame:
+    """``given, text, spans`` from ``rows(given, text)``."""
     text = F.coalesce(F.col("text"), F.lit(""))
     kinds = [*BASE, *ADDED]
-    hits = docs.select(
-        *[F.col(f"`{c}`") for c in docs.columns if c != name],
-        *[F.regexp_extract_all(text, F.lit(_PATTERNS[k]), F.lit(0)).alias(f"_hits_{k}") for k in kinds],
+    hits = rows.select(
+        "given", "text", *[F.regexp_extract_all(text, F.lit(_PATTERNS[k]), F.lit(0)).alias(k) for k in kinds]
     )
-    spans = F.concat(*[_spans(k, F.col(f"_hits_{k}"), text) for k in kinds])
-    return hits.withColumn(name, spans).drop(*[f"_hits_{k}" for k in kinds])
+    return hits.select("given", "text", F.concat(*[_spans(k, F.col(k), text) for k in kinds]).alias("spans"))
 
 
 def listed(spans: Column) -> Column:
@@ -167,10 +176,11 @@ def mask(docs: DataFrame) -> DataFrame:
     """``docs`` with each span in ``text`` replaced by its kind in angle brackets.
 
     Of spans that overlap the one that begins first, or is longer, counts, and the others are
-    covered by it. Null texts stay null.
+    covered by it. Null texts stay null, and so do texts without a span. Rows that repeat are masked alike; other
+    columns stay, whatever their names; an empty table gives an empty result.
     """
-    found = find(docs, "_spans")
-    order = F.array_sort(F.transform("_spans", lambda s: F.struct(s["start"], (-s["end"]).alias("turn"), s["end"], s["kind"])))
+    found = _found(docs.select(F.struct("*").alias("given"), F.col("text").alias("text")))
+    order = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"], (-s["end"]).alias("turn"), s["end"], s["kind"])))
     cut = F.aggregate(
         order,
         F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts")),
@@ -186,12 +196,13 @@ def mask(docs: DataFrame) -> DataFrame:
             ).alias("parts"),
         )),
     )
-    masked = found.withColumn("_cut", F.when(F.size("_spans") > 0, cut))
+    masked = found.withColumn("cut", F.when(F.size("spans") > 0, cut))
     text = F.when(
-        F.col("_cut").isNotNull(),
+        F.col("cut").isNotNull(),
         F.concat(
-            F.array_join("_cut.parts", ""),
-            F.substring(F.col("text"), (F.col("_cut.at") + 1).cast("int"), F.length("text")),
+            F.array_join("cut.parts", ""),
+            F.substring(F.col("text"), (F.col("cut.at") + 1).cast("int"), F.length("text")),
         ),
     ).otherwise(F.col("text"))
-    return masked.withColumn("text", text).select(*docs.columns)
+    kept = [text.alias("text") if c == "text" else F.col("given").getField(c).alias(c) for c in docs.columns]
+    return masked.select(*kept)

@@ -170,10 +170,12 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> D
 
 
 def keep(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps, with all their columns; judged where they lie."""
+    """The rows of ``docs`` that ``judge`` keeps, with all their columns, whatever their names; judged where they lie."""
     trees = train(docs, labels)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    text = plain.columns[docs.columns.index("text")]
 
     def kept(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return batch.filter(pa.array(_verdict(_counts(batch.column("text")), trees, threshold)[2]))
+        return batch.filter(pa.array(_verdict(_counts(batch.column(text)), trees, threshold)[2]))
 
-    return map_slices(docs, kept, docs.schema)
+    return map_slices(plain, kept, plain.schema, text).toDF(*docs.columns)

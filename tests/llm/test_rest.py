@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cratelake.llm import mixing, neighbours, packing, pii, urls
+from cratelake.llm import minhash, mixing, neighbours, packing, pii, quality, urls
 from cratelake.llm.queries import QUERIES
+from cratelake.llm.ship import ship
 from tests.llm import brute
 
 
@@ -252,3 +253,36 @@ def test_pipeline(spark, sf):
     ends = sum(p["start"] + p["length"] == p["doc_tokens"] for p in pieces)
     assert ends == docs.count()
     assert corpus_pipeline.run(spark, sf).count() == len(pieces)
+
+
+HIDDEN = ["_spans", "_cut", "_hits_email", "email", "given", "spans", "cut", "_copies", "_copy", "_whole", "_last", "key", "words", "whole",
+          "last", "own", "copies", "copy", "_turn", "a.b", "a`b"]
+
+
+def test_stages_keep_columns_of_any_name(spark, labels):
+    ship(spark)
+    text = "write to ann.lee@example.com or call +44 20 7946 0958, please; the rest of this page is plain prose about boats"
+    rows = [(i, t, "en", s, 1, *range(len(HIDDEN))) for i, (t, s) in enumerate([(text, "a"), (None, "a"), ("", None), ("some words here", None)])]
+    names = ", ".join(f"`{x.replace('`', '``')}` int" for x in HIDDEN)
+    df = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {names}")
+    for stage in (lambda d: quality.keep(d, labels()), lambda d: minhash.one_each(d, 80), pii.mask, mixing.draw):
+        out = stage(df)
+        assert out.columns == df.columns
+        assert {tuple(r)[5:] for r in out.collect()} <= {tuple(range(len(HIDDEN)))}
+        assert stage(df.limit(0)).count() == 0
+    assert "<email>" in [r["text"] for r in pii.mask(df).collect() if r["doc_id"] == 0][0]
+    assert [r["_spans"] for r in pii.find(df, "found").collect()] == [0] * 4
+
+
+def test_mixture_is_exact_without_ids(docs):
+    rows = [(None, " ".join(f"w{i}x{j}" for j in range(20 + i % 7)), None, s) for s in "abc" for i in range(100)]
+    table = docs(*rows)
+    goal = {r["source_size"]: r["target"] for r in mixing.mix(table).collect()}
+    drawn = {}
+    for r in mixing.draw(table).collect():
+        drawn[r["source"]] = drawn.get(r["source"], 0) + len(r["text"].split())
+    sizes = {s: sum(len(t.split()) for _, t, _, x in rows if x == s) for s in "abc"}
+    targets = sorted(r["target"] for r in mixing.mix(table).select("target").distinct().collect())
+    assert len(goal) == 1 and sorted(drawn) == ["a", "b", "c"] and len(targets) >= 2
+    for s, words in drawn.items():
+        assert min(abs(words - t) for t in targets) <= 27 and words <= 2 * sizes[s]
