@@ -20,6 +20,7 @@ END = 1  # id after each document
 DIMENSIONS = 4
 ORDER = 10  # bits per dimension
 OUT_ROWS = 2_000
+TOKEN_BYTES = 4 << 20  # of text tokenized at a time; the more, the fewer pieces are met again
 
 _U = np.uint64
 
@@ -73,8 +74,7 @@ def encoder(vocabulary: str | None) -> Memo:
 
     A special token's string in a text is that token, as the file has it.
     """
-    model = byte_level(vocabulary)
-    return Memo(lambda found: [np.array(x, model.width).tobytes() for x in model.ids([x.decode() for x in found])])
+    return Memo(byte_level(vocabulary).packed_ids)
 
 
 def tokenized(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
@@ -83,8 +83,9 @@ def tokenized(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
         model, encode = byte_level(vocabulary), encoder(vocabulary)
         end, width = np.array([END], model.width).tobytes(), np.dtype(model.width).itemsize
         uid = TaskContext.get().partitionId() << 40
+        encode.clear()  # what a worker keeps between tasks would stay through later stages
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TOKEN_BYTES):
                 found, first = pieces(*flat(part.column("text")), model.inner)
                 coded = found.dictionary_encode()
                 values = [*encode(coded.dictionary.to_pylist()), end]
@@ -95,7 +96,7 @@ def tokenized(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.arange(uid, uid + count)), part.column("doc_id").cast(pa.int64()),
-                        pa.array(curve_keys(part.column("text")).astype(np.int64)),
+                        pa.array(np.concatenate([curve_keys(x.column("text")) for x in slices(part, "text")]).astype(np.int64)),
                         pa.array(np.diff(at) // width),
                         pa.LargeBinaryArray.from_buffers(
                             pa.large_binary(), count, [None, pa.py_buffer(at), pa.py_buffer(body)]).cast(pa.binary()),
@@ -103,6 +104,7 @@ def tokenized(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
                     names=["uid", "doc_id", "key", "n", "ids"],
                 )
                 uid += count
+        encode.clear()
 
     return docs.select("doc_id", "text").mapInArrow(run, "uid long, doc_id long, key long, n long, ids binary")
 

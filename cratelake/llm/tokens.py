@@ -10,6 +10,7 @@ from __future__ import annotations
 import functools
 import json
 import os
+import re
 from collections.abc import Callable
 
 import numpy as np
@@ -26,6 +27,8 @@ _FIRM[0xC3:0xF5] = True
 _FIRM[[0xE1, 0xE2, 0xE3, 0xEF]] = False
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
+_PLAIN = re.compile(rb" ?[\x21-\x7E\x80-\xC1\xC3-\xE0\xE4-\xEE\xF0-\xFF]+")  # firm characters only
+JOINED_PIECES = 64
 POINTS = b".,;:!?"
 _POINT = np.zeros(256, bool)
 _POINT[[*POINTS]] = True
@@ -76,16 +79,22 @@ class Memo:
         self.new: dict[bytes, object] = {}
         self.old: dict[bytes, object] = {}
 
+    def clear(self) -> None:
+        self.new, self.old = {}, {}
+
     def __call__(self, found: list[bytes]) -> list:
-        new, old = self.new, self.old
-        lacking = [x for x in found if x not in new and x not in old]
-        made = dict(zip(lacking, self.make(lacking))) if lacking else {}
-        values = [made[x] if x in made else new[x] if x in new else old[x] for x in found]
-        for x, value in zip(found, values):
-            if len(x) <= MEMO_BYTES:
-                new[x] = value
-        if len(new) > MEMO_PIECES // 2:
-            self.new, self.old = {}, new
+        values = list(map(self.new.get, found))
+        lacking = [i for i, value in enumerate(values) if value is None]
+        unknown = [i for i in lacking if found[i] not in self.old]
+        for i, value in zip(unknown, self.make([found[i] for i in unknown]) if unknown else []):
+            values[i] = value
+        for i in lacking:
+            if values[i] is None:
+                values[i] = self.old[found[i]]
+            if len(found[i]) <= MEMO_BYTES:
+                self.new[found[i]] = values[i]
+        if len(self.new) > MEMO_PIECES // 2:
+            self.new, self.old = {}, self.new
         return values
 
 
@@ -121,12 +130,35 @@ class ByteLevel:
             and not any(" " in x or "\n" in x for x in special)
             and not any(x.get(k) for x in given.get("added_tokens", []) for k in ("lstrip", "rstrip", "single_word"))
         )
+        line = self.model.encode("\n", add_special_tokens=False).ids
+        self.line = line[0] if len(line) == 1 else None
         self.size = self.model.get_vocab_size()
         self.width = "<u2" if max(self.model.get_vocab().values()) < 1 << 16 else "<u4"
 
     def ids(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def packed_ids(self, found: list[bytes]) -> list[bytes]:
+        """The ids of pieces as bytes. Pieces without white space but a first blank are encoded many at a time, with line
+        breaks between them: no token crosses these, and their id comes from nothing else."""
+        out: list[bytes | None] = [None] * len(found)
+        plain = [i for i, x in enumerate(found) if _PLAIN.fullmatch(x)] if self.inner and self.line is not None else []
+        lines = [
+            b"\n".join([found[i] for i in plain[low:low + JOINED_PIECES]] + [b""]).decode()
+            for low in range(0, len(plain), JOINED_PIECES)
+        ]
+        for low in range(0, len(lines), 256):
+            encoded = self.model.encode_batch_fast(lines[low:low + 256], add_special_tokens=False)
+            ids = np.array([i for x in encoded for i in x.ids], self.width)
+            ends = np.flatnonzero(ids == self.line)
+            body, size, some = ids.tobytes(), ids.itemsize, plain[low * JOINED_PIECES:(low + 256) * JOINED_PIECES]
+            for i, a, b in zip(some, [0, *((ends[:-1] + 1) * size).tolist()], (ends * size).tolist()):
+                out[i] = body[a:b]
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(rest, self.ids([found[i].decode() for i in rest]) if rest else []):
+            out[i] = np.array(x, self.width).tobytes()
+        return out
+
     def token_bytes(self) -> list[bytes]:
         """The bytes of each id; visible characters stand for themselves, the rest for 256 and on."""
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]

@@ -83,6 +83,7 @@ def test_pieces_keep_every_byte_and_every_id():
     for plain_text in (False, True):
         model = tokens.byte_level(None, plain_text)
         by_piece = model.ids([x.decode() for x in listed])
+        assert [np.frombuffer(x, model.width).tolist() for x in model.packed_ids(listed)] == by_piece
         for text, i, j in zip(texts, first, first[1:]):
             assert sum(by_piece[i:j], []) == model.model.encode(text, add_special_tokens=False).ids, repr(text)
 
