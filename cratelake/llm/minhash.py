@@ -20,6 +20,7 @@ MINIMA = 1024  # of a signature
 PER_LONG = 64 // BITS
 SIGMAS = 4  # how far below the threshold an estimate may lie before the pair is left out
 HUBS = 2
+SIGNED_ROWS = 1_000  # short texts whose minima are held at a time
 
 _U = np.uint64
 
@@ -67,8 +68,8 @@ def _lists(rows: np.ndarray, filled: np.ndarray) -> pa.Array:
 
 
 def digest_of(text: Column) -> Column:
-    """A text's 128-bit name, which with the doc_id tells rows apart unless they are equal in both."""
-    return F.unhex(F.md5(text.cast("binary")))
+    """A text's 96-bit name, of two hash functions, which with the doc_id tells rows apart unless both are equal."""
+    return F.struct(F.xxhash64(text).alias("a"), F.hash(text).alias("b"))
 
 
 def sketch(docs: DataFrame, bands: int) -> DataFrame:
@@ -92,7 +93,7 @@ def sketch(docs: DataFrame, bands: int) -> DataFrame:
 
     return map_slices(
         docs.select("doc_id", digest_of(F.col("text")).alias("digest"), "text"), sketched,
-        "doc_id long, digest binary, n_shingles long, cls long, bands array<long>",
+        "doc_id long, digest struct<a:long,b:int>, n_shingles long, cls long, bands array<long>",
     )
 
 
@@ -110,7 +111,7 @@ def signatures(texts: DataFrame) -> DataFrame:
             names=["cls", "n_shingles", "sig"],
         ).filter(pa.array(fine))
 
-    return map_slices(texts, signed, "cls long, n_shingles long, sig array<long>")
+    return map_slices(texts, signed, "cls long, n_shingles long, sig array<long>", rows=SIGNED_ROWS)
 
 
 def estimate(a: Column, b: Column) -> Column:

@@ -62,25 +62,30 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, ends - ends[0]
 
 
-def slices(batch: pa.RecordBatch, text: str, budget: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Consecutive rows with at most ``budget`` bytes of text, or one row that has more."""
+def slices(
+    batch: pa.RecordBatch, text: str, budget: int = SLICE_BYTES, rows: int | None = None
+) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows, ``rows`` at most if given, with at most ``budget`` bytes of text, or one row that has more."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes)
     at = 0
     while at < len(sizes):
         before = ends[at - 1] if at else 0
         to = max(at + 1, int(np.searchsorted(ends, before + budget, "right")))
+        if rows:
+            to = min(to, at + rows)
         yield batch.slice(at, to - at)
         at = to
 
 
 def map_slices(
-    df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: T.StructType | str, text: str = "text"
+    df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: T.StructType | str, text: str = "text",
+    rows: int | None = None,
 ) -> DataFrame:
-    """``fn`` on each slice of each batch."""
+    """``fn`` on each slice of each batch, of ``rows`` rows at most if given."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, rows=rows):
                 yield fn(part)
 
     return df.mapInArrow(run, schema)
