@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from cratelake.llm.store import stored
 from cratelake.llm.text import LOWER, Words, flat, slices
 
-SHARD_BYTES = 16 << 20  # text of a shard, at least; a longer text is a shard's last one
+SHARD_BYTES = 8 << 20  # text of a shard, at least; a longer text is a shard's last one
 BLOCK = 128  # postings
 QUERY_TERMS = 200_000  # distinct terms of the queries that are taken together
 MOST_TASKS = 20_000  # for the search of a block of queries; each has as many shards as it must
