@@ -40,29 +40,40 @@ def accepted_messages(
     tie: str,
     group_rows: int = GROUP_ROWS,
     scratch: str | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """``(key, ts, tie)`` of the accepted messages. Equal times are ordered by ``tie``.
 
     ``tie`` identifies a message. A message without content, time or ``tie`` cannot be ordered
     and is not accepted, here and in streams alike; ``incomplete`` gives these. The three
     columns are stored once, in the folder ``scratch`` if given, which may go once the result is written.
+    Where ``counted`` gives a stored table that has the messages' contents at least as often, long contents are
+    found there, and the messages are stored only if there are any.
     """
     if interval <= dt.timedelta(0):
         raise ValueError("interval must be positive")
-    rows = stored(messages.select(
+    rows = messages.select(
         F.col(key).alias("key"), F.col(ts).alias("ts"), F.col(tie).alias("tie")
-    ).dropna(), "messages", scratch)
+    ).dropna()
+    if counted is None:
+        counted = rows = stored(rows, "messages", scratch)
+    else:
+        counted = counted.select(F.col(key).alias("key"))
     # Counting by a 64-bit hash moves little; a collision only sends a short content the
     # long way, which is exact too.
     hashed = F.xxhash64("key")
-    long_keys = cut(
-        rows.groupBy(hashed.alias("hash")).agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > group_rows).select("hash")
-    )
-    found = long_keys.limit(BROADCAST_KEYS + 1).count()
+    found = 0
+    if counted.count() > group_rows:
+        long_keys = cut(
+            counted.groupBy(hashed.alias("hash")).agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > group_rows).select("hash")
+        )
+        found = long_keys.limit(BROADCAST_KEYS + 1).count()
     if found == 0:
         kept = _fold_sorted(rows, interval)
     else:
+        if counted is not rows:
+            rows = stored(rows, "messages", scratch)
         listed = F.broadcast(long_keys) if found <= BROADCAST_KEYS else long_keys
         marked = rows.withColumn("hash", hashed)
         short = marked.join(listed, "hash", "left_anti").drop("hash")
@@ -114,18 +125,20 @@ def _fold_sorted(rows: DataFrame, interval: dt.timedelta) -> DataFrame:
 
 def accepted_after(
     messages: DataFrame, earlier: DataFrame, interval: dt.timedelta,
-    *, key: str, ts: str, tie: str, **options,
+    *, key: str, ts: str, tie: str, at_rest: bool = False, **options,
 ) -> DataFrame:
     """``(key, ts, tie)`` of ``messages`` accepted when the messages ``earlier`` were accepted before.
 
     Arrival counts: a message less than the interval after the last one accepted of its content is
-    dropped, also if its time lies before that one.
+    dropped, also if its time lies before that one. ``at_rest`` says that ``messages`` is a stored table.
     """
     last = earlier.groupBy(F.col(key)).agg(F.max(ts).alias("_last"))
     fresh = messages.select(key, ts, tie).join(last, key, "left").where(
         F.col("_last").isNull() | (F.col(ts) >= F.col("_last") + span(interval))
     )
-    return accepted_messages(fresh, interval, key=key, ts=ts, tie=tie, **options)
+    return accepted_messages(
+        fresh, interval, key=key, ts=ts, tie=tie, counted=messages if at_rest else None, **options
+    )
 
 
 def _next_pointers(base: DataFrame, interval: dt.timedelta) -> DataFrame:

@@ -23,6 +23,20 @@ def scanned(sent: DataFrame, acked: DataFrame) -> DataFrame:
     return sent.join(acked.select("message_id").distinct(), "message_id", "left_semi")
 
 
+def settled_files(sent: DataFrame, acked: DataFrame) -> DataFrame:
+    """``file, settled`` of each file of ``sent(message_id, file)``: whether all its messages are acknowledged."""
+    done = acked.select("message_id").distinct().withColumn("_done", F.lit(True))
+    known = sent.join(done, "message_id", "left").select("file", F.coalesce("_done", F.lit(False)).alias("_done"))
+    return known.groupBy("file").agg(F.bool_and("_done").alias("settled"))
+
+
+def idle_acks(acked: DataFrame, sent: DataFrame) -> DataFrame:
+    """``file, idle`` of each file of ``acked(message_id, file)``: whether no message of ``sent`` needs it."""
+    here = sent.select("message_id").distinct().withColumn("_here", F.lit(True))
+    known = acked.join(here, "message_id", "left").select("file", F.col("_here").isNull().alias("_idle"))
+    return known.groupBy("file").agg(F.bool_and("_idle").alias("idle"))
+
+
 def peek(queue: DataFrame, n: int = 10) -> DataFrame:
     """The first ``n`` messages in queue order; nothing is consumed."""
     return queue.orderBy("sent_ts", "seq").limit(n)

@@ -6,11 +6,13 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from cratelake.model import CRATE_FIELDS
+from cratelake.operators.ordered import store_order
 from cratelake.plans import fixtures
 from cratelake.session import shared_path
 from cratelake.sources.csvfiles import write_raw, write_routed
 from cratelake.sources.gold import create_table, write_gold
 from cratelake.sources.messages import send_messages
+from cratelake.sources.rollups import Rollup
 from cratelake.streaming.flows import ingest_files
 
 _written: dict[tuple[str, str, str], str] = {}
@@ -71,3 +73,18 @@ def gold(spark: SparkSession, sf_dir: str) -> str:
     return _once(
         spark, sf_dir, "gold", lambda p: write_gold(fixtures.gold_crates(spark, sf_dir), p)
     )
+
+
+def rollup(spark: SparkSession, sf_dir: str, by) -> str:
+    """Counts of the crates by the columns ``by``, added in four micro-batches."""
+    def write(path: str) -> None:
+        kept = Rollup(spark, path, by)
+        rows = fixtures.crates(spark, sf_dir).withColumn("day", F.to_date("sent_ts"))
+        for turn in range(4):
+            kept.add(rows.where(F.pmod(F.xxhash64("crate_id"), F.lit(4)) == turn), turn)
+
+    return _once(spark, sf_dir, "rollup", write)
+
+
+def cell_order(spark: SparkSession, sf_dir: str, cells) -> str:
+    return _once(spark, sf_dir, "cell-order", lambda p: store_order(cells, p, "cell", row_key="event_id"))

@@ -215,6 +215,15 @@ ORACLES: dict[str, str] = {
         WITH {CRATES} SELECT 'creation_date=' || arrival_date AS directory, true AS is_csv,
           CAST(sum({_LINE}) AS BIGINT) AS row_bytes FROM crates GROUP BY arrival_date""",
     "scan_silver_csv": _ROUTED_ROWS,
+    "raw_moved": f"""
+        WITH {CRATES}
+        SELECT arrival_date AS creation_date, count(*) AS n_routed, 0 AS left_in_raw FROM crates GROUP BY arrival_date""",
+    "gold_compacted": _GOLD_ROWS,
+    "queue_retired": f"""
+        WITH {_ACKS}
+        SELECT CAST(o_orderkey AS VARCHAR) AS message_id,
+               CASE WHEN CAST(o_orderkey AS VARCHAR) IN (SELECT message_id FROM acks) THEN 'retired' ELSE 'pending' END AS state
+        FROM orders""",
     "gold_write": _GOLD_ROWS,
     "gold_partitions": (
         f"WITH {CRATES} SELECT DISTINCT 'creation_date=' || arrival_date AS partition FROM crates"
@@ -359,6 +368,17 @@ ORACLES: dict[str, str] = {
     "dedup_fifo": _DEDUP,
     "dedup_fifo_stream": _DEDUP,
     "dedup_fifo_batches": _DEDUP,
+    "dedup_fifo_chained": _DEDUP,
     "count_batches": _BATCHES,
     "count_batches_stream": _BATCHES,
 }
+
+# The same numbers by another way.
+ORACLES |= {
+    "pending_bucketed": ORACLES["pending"],
+    "table_page_stored": ORACLES["table_page_far"],
+    "kpi_cards_rollup": ORACLES["kpi_cards"],
+    "requested_vs_flagged_rollup": ORACLES["requested_vs_flagged"],
+    "fulfilled_by_month_rollup": ORACLES["fulfilled_by_month"],
+    "category_share_rollup": ORACLES["category_share"],
+}

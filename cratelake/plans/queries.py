@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from cratelake.functions import dates, keys, payload, text
 from cratelake.model import CRATE_FIELDS, CRATE_SCHEMA, DECLARED_DATE, LANDED_SCHEMA, TRACKING_FIELDS
 from cratelake.operators import (
-    batches, browse, dashboard, dedup, queue, records, tracking,
+    batches, browse, dashboard, dedup, ordered, queue, records, tracking,
 )
 from cratelake.plans import fixtures, lakes
 from cratelake.session import shared_path
-from cratelake.sources import csvfiles, events, files, gold, messages
+from cratelake.sources import compaction, csvfiles, events, files, gold, messages, rollups
 from cratelake.streaming import flows
 from cratelake.streaming.dedup import (
-    deduplicate_batches, deduplicate_stream, read_accepted,
+    deduplicate_batches, deduplicate_stream, read_accepted, start_batches, stream_accepted,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,6 +123,22 @@ def silver_route_stream(spark, sf_dir):
     return csvfiles.with_arrival(landed, keep_declared=True)
 
 
+def raw_moved(spark, sf_dir):
+    """Lands and routes twice; the routed files leave the raw folder."""
+    raw, silver, done, checkpoint = (shared_path(spark, x) for x in ("raw", "routed", "raw-done", "route-checkpoint"))
+    for turn in range(2):
+        part = fixtures.crates(spark, sf_dir).where(F.col("seq") % 2 == turn)
+        csvfiles.write_raw(part, f"{raw}/batch={turn}")
+        flows.route_files(
+            spark, raw, silver, checkpoint, archive=done,
+            arrival=F.add_months(F.trunc(F.col("creation_date").cast("date"), "month"), 1),
+        )
+    landed = csvfiles.with_arrival(csvfiles.read_crate_csv(spark, silver, LANDED_SCHEMA))
+    return landed.groupBy("creation_date").agg(F.count(F.lit(1)).alias("n_routed")).withColumn(
+        "left_in_raw", F.lit(files.list_files(spark, raw).count())
+    )
+
+
 def list_files(spark, sf_dir):
     uri = F.col("uri")
     directory = F.element_at(F.split(uri, "/"), -2)
@@ -159,6 +175,18 @@ def gold_incremental(spark, sf_dir):
     return gold.read_gold(spark, target)
 
 
+def gold_compacted(spark, sf_dir):
+    """Four micro-batches touch every date; each date is then rewritten as one folder."""
+    name, path = f"crate_compacted_{uuid.uuid4().hex}", shared_path(spark, "compacted")
+    gold.create_table(spark, name, path, batched=True)
+    rows = fixtures.gold_crates(spark, sf_dir)
+    for turn in range(4):
+        part = rows.where(F.pmod(F.xxhash64("crate_id"), F.lit(4)) == turn)
+        gold.write_batch(part, path, turn, name)
+    compaction.compact(spark, name, path, most=2)
+    return compaction.read_table(spark, name)
+
+
 def schema_report(spark, sf_dir):
     """The schema that the gold files themselves state."""
     return gold.schema_report(spark.read.parquet(lakes.gold(spark, sf_dir)))
@@ -255,6 +283,27 @@ def pending_after_scan(spark, sf_dir):
     return state
 
 
+def queue_retired(spark, sf_dir):
+    """Acknowledged messages were sent apart; their files leave the queue, the others stay pending."""
+    sent, acked, retired = (shared_path(spark, x) for x in ("retiring", "retiring-acks", "retired"))
+    rows, done = messages.read_messages(spark, lakes.queue(spark, sf_dir)), fixtures.acks(spark, sf_dir).distinct()
+    for how in ("left_semi", "left_anti"):
+        messages.send_messages(rows.join(done, "message_id", how), sent)
+    done.write.parquet(f"{acked}/batch=0")
+    flows.retire_files(spark, sent, acked, retired)
+    left = queue.pending(messages.read_messages(spark, sent), flows.read_acks(spark, acked))
+    state = lambda df, name: df.select("message_id", F.lit(name).alias("state"))
+    return state(left, "pending").unionByName(state(messages.read_messages(spark, f"{retired}/queue"), "retired"))
+
+
+def pending_bucketed(spark, sf_dir):
+    """What is pending, from tables of messages and acknowledgements that are bucketed alike."""
+    name = f"queue_{uuid.uuid4().hex}"
+    messages.save_bucketed(fixtures.sent(spark, sf_dir), f"{name}_sent", 8)
+    messages.save_bucketed(fixtures.acks(spark, sf_dir), f"{name}_acked", 8)
+    return _plain_times(queue.pending(spark.table(f"{name}_sent"), spark.table(f"{name}_acked")))
+
+
 def queue_head(spark, sf_dir):
     sent = messages.read_messages(spark, lakes.queue(spark, sf_dir))
     return _plain_times(queue.peek_pending(sent, fixtures.acks(spark, sf_dir), 1))
@@ -315,6 +364,36 @@ def category_share(spark, sf_dir):
     return dashboard.category_share(fixtures.crates(spark, sf_dir), "company_name")
 
 
+def _rollup(spark, sf_dir):
+    """Crates counted by the columns of the dashboard, in four micro-batches."""
+    rows = fixtures.crates(spark, sf_dir).withColumn("day", F.to_date("sent_ts"))
+    by = rows.select("day", "company_name", "return_status", "shipment_status").schema
+    kept = rollups.Rollup(spark, lakes.rollup(spark, sf_dir, by), by)
+    return kept, kept.counts()
+
+
+def kpi_cards_rollup(spark, sf_dir):
+    kept, counts = _rollup(spark, sf_dir)
+    return dashboard.kpi_cards_of(counts, kept.crates(), F.col("return_status") == "Returned")
+
+
+def requested_vs_flagged_rollup(spark, sf_dir):
+    _, counts = _rollup(spark, sf_dir)
+    return dashboard.requested_vs_flagged(
+        counts, F.col("day"), WEEK_END, F.col("return_status") == "Returned", weight="n"
+    )
+
+
+def fulfilled_by_month_rollup(spark, sf_dir):
+    _, counts = _rollup(spark, sf_dir)
+    return dashboard.fulfilled_by_month(counts, F.col("day"), YEAR, F.col("shipment_status") == "Delivered", "n")
+
+
+def category_share_rollup(spark, sf_dir):
+    _, counts = _rollup(spark, sf_dir)
+    return dashboard.category_share(counts, "company_name", "n")
+
+
 # --- table browsing
 
 
@@ -359,6 +438,11 @@ def table_page_far(spark, sf_dir):
     )
 
 
+def table_page_stored(spark, sf_dir):
+    """A far page of an order that was sorted once."""
+    return ordered.stored_page(spark, lakes.cell_order(spark, sf_dir, _cells(spark, sf_dir)), page=30, size=25)
+
+
 def table_page_count(spark, sf_dir):
     return browse.page_count(fixtures.order_crates(spark, sf_dir))
 
@@ -474,6 +558,21 @@ def dedup_fifo_batches(spark, sf_dir):
     return _plain_times(read_accepted(spark, path))
 
 
+def dedup_fifo_chained(spark, sf_dir):
+    """What the micro-batches accept, taken on by a stream that follows them."""
+    path, target = shared_path(spark, "accepted-chained"), shared_path(spark, "followed")
+    events = fixtures.contents(_event_stream(spark, sf_dir))
+    names = {"key": "dedup_key", "ts": "ts", "tie": "event_id"}
+    start_batches(
+        events, INTERVAL, **names, path=path, checkpoint=shared_path(spark, "chained-checkpoint")
+    ).awaitTermination()
+    schema = events.select("dedup_key", "ts", "event_id").schema
+    stream_accepted(spark, path, schema).writeStream.format("parquet").option("path", target).option(
+        "checkpointLocation", shared_path(spark, "followed-checkpoint")
+    ).trigger(availableNow=True).start().awaitTermination()
+    return _plain_times(spark.read.schema(schema).parquet(target))
+
+
 def count_batches(spark, sf_dir):
     arrivals = fixtures.table(spark, sf_dir, "events").select("event_id", "ts")
     return batches.count_batches(arrivals, "ts", "event_id")
@@ -501,6 +600,8 @@ QUERIES: dict[str, Query] = {
         requested_vs_flagged, category_share, table_search, table_sort_asc, table_sort_desc,
         table_page, table_page_far, table_page_count, date_scalars, key_scalars,
         string_scalars, unit_scalars, json_scalars, dedup_fifo, dedup_fifo_stream, dedup_fifo_batches,
-        count_batches, count_batches_stream,
+        count_batches, count_batches_stream, raw_moved, gold_compacted, queue_retired, dedup_fifo_chained,
+        pending_bucketed, table_page_stored, kpi_cards_rollup, requested_vs_flagged_rollup, fulfilled_by_month_rollup,
+        category_share_rollup,
     )
 }

@@ -61,8 +61,8 @@ def path_date(path: Column) -> Column:
     return F.nullif(text, F.lit("")).try_cast("date")
 
 
-def with_arrival(landed: DataFrame, keep_declared: bool = False) -> DataFrame:
-    """Routed records with the directory's date as ``creation_date``.
+def with_arrival(landed: DataFrame, keep_declared: bool = False, *others: Column) -> DataFrame:
+    """Routed records with the directory's date as ``creation_date``, and the columns ``others``.
 
     The record's own date is dropped or kept under another name.
     """
@@ -70,7 +70,7 @@ def with_arrival(landed: DataFrame, keep_declared: bool = False) -> DataFrame:
     fields = [
         *CRATE_FIELDS[:-1],
         *([F.col(declared).alias(DECLARED_DATE)] if keep_declared else []),
-        path_date(F.col("_metadata.file_path")).alias(ARRIVAL_DATE),
+        path_date(F.col("_metadata.file_path")).alias(ARRIVAL_DATE), *others,
     ]
     return landed.select(*fields)
 

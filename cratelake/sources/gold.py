@@ -43,6 +43,14 @@ def read_gold(spark: SparkSession, path: str, schema: T.StructType = GOLD_SCHEMA
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
+def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    """The dated rows that ``write_batch`` wrote for one micro-batch."""
+    found = folders(spark, f"{path}/{ARRIVAL_DATE}=[0-9]*/{BATCH}={batch_id}")
+    if not found:
+        return spark.createDataFrame([], GOLD_SCHEMA)
+    return spark.read.schema(GOLD_SCHEMA).option("basePath", path).parquet(*found).select(*GOLD_SCHEMA.names)
+
+
 def undated(spark: SparkSession, path: str) -> DataFrame:
     """Rows of files that lay below no date; they are kept, but stand under no date's partition."""
     return read_gold(spark, path).where(F.col(ARRIVAL_DATE).isNull())

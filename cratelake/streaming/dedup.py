@@ -10,12 +10,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from cratelake.operators.dedup import accepted_after
-from cratelake.sources.files import delete, folders
+from cratelake.sources.files import delete, ensure_folder, exists, folders
 
-BUCKETS = 256  # parts of the state; a micro-batch rewrites those its contents fall into
+BUCKETS = 256  # parts of the folded state, at most
+BUCKET_ROWS = 100_000  # contents of a part, at least
+FOLD_EVERY = 8  # micro-batches whose accepted messages are read beside the folded state
 
 
 def deduplicate_stream(
@@ -100,70 +103,145 @@ def deduplicate_batches(
     """The same for large micro-batches, which may hold one content very often.
 
     Each micro-batch is stored, stripped of what the last accepted messages rule out, and
-    folded like a table. The last accepted time of each content is kept in ``BUCKETS`` parts by
-    hash; a micro-batch reads and rewrites the parts its contents fall into, with ``lateness``
-    leaving out times that can no longer matter. Every step writes a folder of the
-    micro-batch's own, so running it again changes nothing. What no later run can ask for is removed.
+    folded like a table. What it accepts is also the log of the state: the last accepted time of a
+    content is the latest in the folded state and in what was accepted since. Every ``FOLD_EVERY``
+    micro-batches the log is folded into a new state, with ``lateness`` leaving out times that can
+    no longer matter. Every step writes a folder of the micro-batch's own, so running it again
+    changes nothing, and what it has accepted is not worked out again. What no later run can ask for is removed.
 
     The rows are stored first because they are read several times. A message later than
     ``lateness`` is not lost here; at worst it is accepted again.
     """
+    start_batches(
+        messages, interval, key=key, ts=ts, tie=tie, path=path, checkpoint=checkpoint, lateness=lateness, **options
+    ).awaitTermination()
+
+
+def start_batches(
+    messages: DataFrame,
+    interval: dt.timedelta,
+    *,
+    key: str,
+    ts: str,
+    tie: str,
+    path: str,
+    checkpoint: str,
+    lateness: dt.timedelta | None = None,
+    trigger: dict | None = None,
+    **options: int,
+) -> StreamingQuery:
+    """``deduplicate_batches`` as a running query, by default until all that has arrived is taken.
+
+    ``trigger`` holds the arguments of the stream writer's trigger, so ``{"processingTime": "1 minute"}`` goes on;
+    ``stream_accepted`` gives what is accepted to the streams that follow.
+    """
     spark = messages.sparkSession
-    bucket = F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int")
     if not folders(spark, f"{path}/accepted"):
         empty = spark.createDataFrame([], messages.select(key, ts, tie).schema)
         _store(spark, empty, f"{path}/accepted/batch=-1")
 
     def accept(batch: DataFrame, batch_id: int) -> None:
+        if exists(spark, f"{path}/accepted/batch={batch_id}/_SUCCESS"):
+            return  # done by a run that stopped before it was committed; streams may have read it
         arrived = _store(spark, batch.select(
             F.col(key).alias("key"), F.col(ts).alias("ts"), F.col(tie).alias("tie")
         ).dropna(), f"{path}/arrived/batch={batch_id}")
-        versions = _versions(spark, path, batch_id)
-        touched = [r[0] for r in arrived.select(bucket).distinct().collect()]  # BUCKETS at most
-        known = arrived.select("key", "ts").limit(0)
-        parts = [f"{path}/last/batch={max(versions[b])}/bucket={b}" for b in touched if b in versions]
-        if parts:
-            known = spark.read.schema(known.schema).parquet(*parts)
-        scratch = f"{path}/fresh"
+        state = _State(spark, path, interval, lateness, key, ts)
         kept = accepted_after(
-            arrived, known, interval, key="key", ts="ts", tie="tie", scratch=scratch, **options
+            arrived, state.before(batch_id, arrived), interval, key="key", ts="ts", tie="tie", at_rest=True, **options
         )
-        accepted = _store(spark, kept.select(
+        _store(spark, kept.select(
             F.col("key").alias(key), F.col("ts").alias(ts), F.col("tie").alias(tie)
         ), f"{path}/accepted/batch={batch_id}")
-        last = accepted.select(F.col(key).alias("key"), F.col(ts).alias("ts")).unionByName(known)
-        last = last.groupBy("key").agg(F.max("ts").alias("ts"))
-        if lateness is not None:
-            newest = arrived.agg(F.max("ts")).first()[0]
-            if newest is not None:
-                last = last.where(F.col("ts") > F.lit(newest - interval - lateness))
-        last.withColumn("bucket", bucket).hint("rebalance", "bucket").write.mode("overwrite").partitionBy(
-            "bucket"
-        ).parquet(f"{path}/last/batch={batch_id}")
-        # If this micro-batch runs again it needs the newest part before its own, but no older one.
-        for b, found in versions.items():
-            for old in found - {max(found)}:
-                delete(spark, f"{path}/last/batch={old}/bucket={b}")
         delete(spark, f"{path}/arrived/batch={batch_id - 1}")
-        delete(spark, scratch)
 
-    messages.writeStream.foreachBatch(accept).option("checkpointLocation", checkpoint).trigger(
-        availableNow=True
-    ).start().awaitTermination()
+    return messages.writeStream.foreachBatch(accept).option("checkpointLocation", checkpoint).trigger(
+        **(trigger or {"availableNow": True})
+    ).start()
 
 
 def read_accepted(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/accepted").drop("batch")
 
 
-def _versions(spark: SparkSession, path: str, batch_id: int) -> dict[int, set[int]]:
-    """The earlier micro-batches that wrote each part of the state; two of a part at most remain."""
-    found: dict[int, set[int]] = {}
-    for folder in folders(spark, f"{path}/last/batch=*/bucket=*"):
-        wrote, part = (int(name.split("=")[1]) for name in folder.split("/")[-2:])
-        if wrote < batch_id:
-            found.setdefault(part, set()).add(wrote)
-    return found
+def stream_accepted(spark: SparkSession, path: str, schema: T.StructType, max_files: int = 1000) -> DataFrame:
+    """What ``start_batches`` accepts below ``path``, as a stream: each message once, as a completed
+    micro-batch is never written again."""
+    return (
+        spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+        .option("recursiveFileLookup", "true").parquet(f"{path}/accepted")
+    )
+
+
+class _State:
+    """The last accepted time of each content: a folded part, and what was accepted since.
+
+    The folded part through micro-batch n lies in ``last/batch=n``, cut into as many buckets by hash as
+    its size asks for, so that a small micro-batch reads few of them.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, interval: dt.timedelta, lateness: dt.timedelta | None, key: str, ts: str
+    ):
+        self.spark, self.path, self.key, self.ts = spark, path, key, ts
+        self.keep = None if lateness is None else interval + lateness
+
+    def before(self, batch_id: int, arrived: DataFrame) -> DataFrame:
+        """``key, ts`` of what was accepted before the micro-batch, the contents of ``arrived`` among them."""
+        folded = self._folded(batch_id)
+        through = max(folded, default=-1)
+        if batch_id - 1 - through >= FOLD_EVERY:
+            through = self._fold(through, batch_id - 1, arrived)
+            folded.append(through)
+        for old in sorted(folded)[:-1]:  # the newest is complete, and no later micro-batch asks for others
+            delete(self.spark, f"{self.path}/last/batch={old}")
+        touched = None
+        if through >= 0 and (parts := self._parts(through)) > 1:
+            touched = [r[0] for r in arrived.select(_bucket(parts)).distinct().collect()]  # BUCKETS at most
+        return self._read(through, batch_id, arrived, touched)
+
+    def _folded(self, batch_id: int) -> list[int]:
+        """The earlier micro-batches through which a complete folded part goes."""
+        found = (int(x.split("=")[-1]) for x in folders(self.spark, f"{self.path}/last/batch=*"))
+        return [x for x in found if x < batch_id and exists(self.spark, f"{self.path}/last/batch={x}/_SUCCESS")]
+
+    def _parts(self, through: int) -> int:
+        return int(folders(self.spark, f"{self.path}/last/batch={through}/_of-*")[0].rsplit("-", 1)[1])
+
+    def _read(self, through: int, batch_id: int, like: DataFrame, touched: list[int] | None) -> DataFrame:
+        schema = like.select("key", "ts").schema
+        rows = self.spark.createDataFrame([], schema)
+        numbers = range(max(through, -1) + 1, batch_id)
+        accepted = [x for n in numbers for x in folders(self.spark, f"{self.path}/accepted/batch={n}")]
+        if accepted:
+            names = T.StructType([T.StructField(self.key, schema["key"].dataType), T.StructField(self.ts, schema["ts"].dataType)])
+            rows = self.spark.read.schema(names).parquet(*accepted).toDF("key", "ts")
+        if through >= 0:
+            wanted = "*" if touched is None else "{" + ",".join(map(str, touched)) + "}"
+            if parts := folders(self.spark, f"{self.path}/last/batch={through}/bucket={wanted}"):
+                rows = rows.unionByName(self.spark.read.schema(schema).parquet(*parts))
+        return rows
+
+    def _fold(self, through: int, upto: int, like: DataFrame) -> int:
+        target = f"{self.path}/last/batch={upto}"
+        rows = self._read(through, upto + 1, like, None).groupBy("key").agg(F.max("ts").alias("ts"))
+        if self.keep is not None:
+            newest = rows.agg(F.max("ts")).first()[0]
+            if newest is not None:
+                rows = rows.where(F.col("ts") > F.lit(newest - self.keep))
+        known = _store(self.spark, rows, f"{self.path}/folding")
+        parts = max(1, min(BUCKETS, known.count() // BUCKET_ROWS))
+        delete(self.spark, target)  # of a run that stopped here
+        ensure_folder(self.spark, f"{target}/_of-{parts}")
+        known.withColumn("bucket", _bucket(parts)).hint("rebalance", "bucket").write.mode("append").partitionBy(
+            "bucket"
+        ).parquet(target)
+        delete(self.spark, f"{self.path}/folding")
+        return upto
+
+
+def _bucket(parts: int):
+    return F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int").alias("bucket")
 
 
 def _store(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:

@@ -1,0 +1,114 @@
+"""A queue whose settled files leave it: what is pending, sent again or scanned stays the same."""
+
+import datetime as dt
+
+import pytest
+
+from cratelake.model import CRATE_SCHEMA
+from cratelake.plans.pipeline import CrateLake
+from cratelake.sources import files, messages
+
+START = dt.datetime(2024, 1, 1, 0, 0, tzinfo=dt.timezone.utc)
+HOUR = dt.timedelta(hours=1)
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    return CrateLake(spark, str(tmp_path / "lake"), name=f"stock_{tmp_path.name}")
+
+
+def send(lake, crate, *records):
+    """Records as (id, time after the start)."""
+    rows = [crate(crate_id=i) + (START + after, n, f"{i}@{after}") for n, (i, after) in enumerate(records)]
+    fields = ", ".join(f"{n} string" for n in CRATE_SCHEMA.names)
+    lake.send(lake.spark.createDataFrame(rows, f"{fields}, at timestamp, seq long, id string"), "id", "at", "seq")
+
+
+def pending(lake):
+    return sorted(r["message_id"] for r in lake.pending().collect())
+
+
+def test_what_send_opens_does_not_grow(lake, crate, spark):
+    opened = []
+    for n in range(20):
+        since = int((START + n * HOUR).timestamp() * 1_000_000) - 300_000_000
+        opened.append(len(lake.sent_since(since).inputFiles()))
+        send(lake, crate, (f"c{n}", n * HOUR), (f"d{n}", n * HOUR))
+        lake.scan()
+        assert lake.retire() > 0
+        assert lake.pending().count() == 0
+    assert max(opened) <= max(opened[1:3]) + 1
+    assert not messages.read_messages(spark, f"{lake._root}/queue").inputFiles()
+    assert len(files.folders(spark, f"{lake._root}/acks/batch=*")) == 1
+    assert spark.read.schema(CRATE_SCHEMA).option("header", "true").option("recursiveFileLookup", "true").csv(f"{lake._root}/raw").count() == 40
+
+
+def test_a_repeat_of_a_retired_message_is_dropped(lake, crate):
+    minute = dt.timedelta(minutes=1)
+    send(lake, crate, ("a", 58 * minute))
+    lake.scan()
+    lake.retire()
+    send(lake, crate, ("a", 61 * minute), ("a", 64 * minute))  # an hour's folder on
+    assert pending(lake) == [f"a@{64 * minute}"]
+
+
+def test_only_wholly_acknowledged_files_go(lake, crate, spark):
+    send(lake, crate, ("a", 0 * HOUR), ("b", 0 * HOUR))
+    send(lake, crate, ("c", 0 * HOUR))
+    ids = {r["message_id"] for r in lake.pending().collect()}
+    first = sorted(ids)[0]
+    spark.createDataFrame([(first,), ("unknown",)], "message_id string").coalesce(1).write.parquet(f"{lake._root}/acks/batch=0")
+    before = set(messages.read_messages(spark, f"{lake._root}/queue").inputFiles())
+    lake.retire()
+    after = set(messages.read_messages(spark, f"{lake._root}/queue").inputFiles())
+    kept = {r["message_id"] for r in lake.pending().collect()}
+    assert kept == ids - {first}
+    assert after <= before and kept <= {r[0] for r in messages.read_messages(spark, *after).select("message_id").collect()}
+
+
+def test_rejected_messages_keep_their_file(lake, spark):
+    bad = spark.createDataFrame([("x", START, 1, "{broken"), ("y", START, 2, None)], "message_id string, sent_ts timestamp, seq long, body string")
+    messages.send_messages(bad.coalesce(1), f"{lake._root}/queue", by_hour=True)
+    lake.scan()
+    lake.retire()
+    assert pending(lake) == ["x", "y"]
+
+
+def test_a_stopped_retirement_changes_nothing_that_is_read(lake, crate, monkeypatch):
+    for n in range(3):
+        send(lake, crate, (f"c{n}", n * HOUR))
+    lake.scan()
+    send(lake, crate, ("new", 4 * HOUR))
+    moved = []
+
+    def fails_second(spark, path, target, old=files.move):
+        if moved:
+            raise OSError("stopped")
+        moved.append(path)
+        return old(spark, path, target)
+
+    with monkeypatch.context() as m:
+        m.setattr(files, "MOVERS", 1)
+        m.setattr(files, "move", fails_second)
+        with pytest.raises(OSError):
+            lake.retire()
+    assert pending(lake) == [f"new@{4 * HOUR}"]
+    lake.retire()
+    lake.retire()
+    assert pending(lake) == [f"new@{4 * HOUR}"]
+    assert lake.in_progress().count() == 1
+
+
+def test_messages_from_before_hours_are_read(lake, crate, spark):
+    """Files that an earlier version put straight into the queue's folder."""
+    row = crate(crate_id="old") + (START, 1, "m")
+    fields = ", ".join(f"{n} string" for n in CRATE_SCHEMA.names)
+    df = spark.createDataFrame([row], f"{fields}, at timestamp, seq long, id string")
+    messages.send_messages(messages.as_messages(df, "id", "at", "seq"), f"{lake._root}/queue")
+    send(lake, crate, ("old", dt.timedelta(minutes=1)), ("old", dt.timedelta(minutes=6)))
+    assert pending(lake) == ["m", f"old@{dt.timedelta(minutes=6)}"]
+    lake.scan()
+    lake.retire()
+    assert pending(lake) == []
+    send(lake, crate, ("old", dt.timedelta(minutes=9)))
+    assert pending(lake) == []
