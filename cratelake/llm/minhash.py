@@ -283,12 +283,13 @@ def one_each(docs: DataFrame, percent: int = 80) -> DataFrame:
     a word are in no group and all stay. Columns may have any names; an empty table gives an empty result.
     """
     rows, named = grouped(docs, percent)
-    known = stored(
-        rows.where("n_shingles > 0").join(named.select("cls", "label"), "cls").select("doc_id", "digest", "label"), "known"
-    )
-    first = known.groupBy("label").agg(F.min(_place()).alias("first"))
-    own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("digest") == F.col("first.digest"))
-    gone = known.join(first, "label").where(~own).select("doc_id", "digest").distinct()
+    known = rows.where("n_shingles > 0")
+    # First rows are found class by class, so that a group's copies are not gathered by its label.
+    sets = stored(named.select("cls", "label").join(known.groupBy("cls").agg(F.min(_place()).alias("first")), "cls"), "sets")
+    best = sets.groupBy("label").agg(F.min("first").alias("best"))
+    first = sets.join(best, "label").select("cls", F.col("best.doc_id").alias("own"), F.col("best.digest").alias("own_digest"))
+    stays = F.col("doc_id").eqNullSafe(F.col("own")) & (F.col("digest") == F.col("own_digest"))
+    gone = known.join(stored(first, "first"), "cls").where(~stays).select("doc_id", "digest").distinct()
     twice = stored(known.groupBy("doc_id", "digest").count().where("count > 1").select("doc_id", "digest"), "twice")
     given = docs.select(F.struct("*").alias("given")).select(
         "given", F.col("given.doc_id").alias("id"), digest_of(F.col("given.text")).alias("name")
