@@ -26,7 +26,7 @@ HEADLINE = [
     "validate_reject", "pending", "queue_peek10", "pending_after_scan", "dedup_fifo",
     "dedup_fifo_stream", "dedup_fifo_batches", "count_batches", "count_batches_stream", "table_search",
     "table_sort_asc", "table_page", "table_page_far", "kpi_cards", "requests_7d",
-    "fulfilled_by_month", "category_share", "key_scalars", "json_scalars",
+    "fulfilled_by_month", "category_share", "key_scalars", "json_scalars", "kpi_cards_rollup", "table_page_stored",
 ]
 # Tables whose rows a query takes in, for a rate next to the time.
 RATES = {"gold_incremental": "orders", "dedup_fifo": "events", "dedup_fifo_stream": "events",
