@@ -29,16 +29,11 @@ def _pick(values: list[str]) -> Column:
     return chosen
 
 
-def order_crates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The crate fields an order gives by itself, plus ``arrival_date``, ``seq``, ``sent_ts``.
-
-    Crates arrive on the first of the month after their order, so that even a small set
-    fills its partitions.
-    """
+def _order_fields() -> list[Column]:
+    """The crate fields that an order gives by itself, of the columns of ``orders``."""
     key, day, status = F.col("o_orderkey"), F.to_date("o_orderdate"), F.col("o_orderstatus")
     day_text, week_later = day.cast("string"), F.date_add(day, 7).cast("string")
-    return table(spark, sf_dir, "orders").select(
-        "o_custkey",
+    return [
         key.cast("string").alias("crate_id"),
         F.concat(F.lit("CUST"), zero_padded(F.col("o_custkey").cast("string")))
         .alias("customer_id"),
@@ -65,20 +60,31 @@ def order_crates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.add_months(F.trunc(day, "month"), 1).alias("arrival_date"),
         key.alias("seq"),
         F.col("o_orderdate").alias("sent_ts"),
-    )
+    ]
+
+
+def order_crates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The crate fields an order gives by itself, plus ``arrival_date``, ``seq``, ``sent_ts``.
+
+    Crates arrive on the first of the month after their order, so that even a small set
+    fills its partitions.
+    """
+    return table(spark, sf_dir, "orders").select("o_custkey", *_order_fields())
 
 
 def crates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One full crate record per order, plus ``arrival_date``, ``seq`` and ``sent_ts``.
 
-    Nation and region are fixed at 25 and 5 rows, hence the broadcasts.
+    Nation and region are fixed at 25 and 5 rows, hence the broadcasts. Customers grow with the
+    orders and are never collected; orders meet them as they are, a few numbers each, and the
+    texts of a crate are made afterwards.
     """
     places = table(spark, sf_dir, "nation").join(
         F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    customers = table(spark, sf_dir, "customer")
+    customers = table(spark, sf_dir, "customer").hint("merge")
     joined = (
-        order_crates(spark, sf_dir)
+        table(spark, sf_dir, "orders")
         .join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
         .join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .withColumnsRenamed({
@@ -86,7 +92,9 @@ def crates(spark: SparkSession, sf_dir: str) -> DataFrame:
             "c_mktsegment": "company_name",
         })
     )
-    return joined.select(*CRATE_FIELDS, "arrival_date", "seq", "sent_ts")
+    return joined.select("customer_name", "city", "state", "company_name", *_order_fields()).select(
+        *CRATE_FIELDS, "arrival_date", "seq", "sent_ts"
+    )
 
 
 def sent(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,9 @@ from cratelake.sources.files import MAX_FILE_AGE, folders
 HOUR = "hour"  # hours since 1970, whatever the session's zone
 HOUR_MICROS = 3_600_000_000
 _TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+# A compressed file is read by one task; this keeps files small.
+FILE_ROWS = 100_000
+_FILES = {"compression": "gzip", "maxRecordsPerFile": FILE_ROWS}
 
 
 def as_messages(records: DataFrame, message_id: str, sent_ts: str, seq: str) -> DataFrame:
@@ -30,7 +33,7 @@ def send_messages(messages: DataFrame, path: str, by_hour: bool = False) -> None
     if by_hour:
         hour = F.call_function("div", F.unix_micros("sent_ts"), F.lit(HOUR_MICROS))
         writer = messages.withColumn(HOUR, hour).hint("rebalance", HOUR).write.partitionBy(HOUR)
-    writer.mode("append").options(**_TIMES).json(path)
+    writer.mode("append").options(**_TIMES, **_FILES).json(path)
 
 
 def read_messages(spark: SparkSession, *paths: str) -> DataFrame:
