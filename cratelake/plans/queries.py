@@ -223,8 +223,8 @@ def label_payload_scan(spark, sf_dir):
 
 
 def inprogress_view(spark, sf_dir):
-    sent = _ragged(spark, sf_dir)
-    return records.inprogress_view(queue.pending(sent, fixtures.acks(spark, sf_dir)))
+    """What the view shows of each message, before the join that needs only its id."""
+    return queue.pending(records.inprogress_view(_ragged(spark, sf_dir)), fixtures.acks(spark, sf_dir))
 
 
 def inprogress_rejects(spark, sf_dir):

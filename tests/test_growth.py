@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cratelake.plans import fixtures
+from cratelake.plans import fixtures, queries
 from cratelake.sources import messages
 
 
@@ -30,3 +30,12 @@ def test_queue_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
     found = [x.name for x in (tmp_path / "q").glob("part-*")]
     assert len(found) == 3 and all(x.endswith(".json.gz") for x in found)
     assert messages.read_messages(spark, str(tmp_path / "q")).exceptAll(sent).isEmpty()
+
+
+def test_bodies_do_not_take_part_in_the_join_of_the_view(spark, sf):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(queries.inprogress_view(spark, sf))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "from_json" in plan[plan.index("SortMergeJoin"):]  # below the join, so before its shuffle
