@@ -287,8 +287,8 @@ def queue_retired(spark, sf_dir):
     """Acknowledged messages were sent apart; their files leave the queue, the others stay pending."""
     sent, acked, retired = (shared_path(spark, x) for x in ("retiring", "retiring-acks", "retired"))
     rows, done = messages.read_messages(spark, lakes.queue(spark, sf_dir)), fixtures.acks(spark, sf_dir).distinct()
-    for how in ("left_semi", "left_anti"):
-        messages.send_messages(rows.join(done, "message_id", how), sent)
+    marked = rows.join(done.withColumn("settled", F.lit(True)), "message_id", "left")
+    messages.send_messages(marked.withColumn("settled", F.col("settled").isNotNull()), sent, apart="settled")
     done.write.parquet(f"{acked}/batch=0")
     flows.retire_files(spark, sent, acked, retired)
     left = queue.pending(messages.read_messages(spark, sent), flows.read_acks(spark, acked))

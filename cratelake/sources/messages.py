@@ -27,12 +27,15 @@ def as_messages(records: DataFrame, message_id: str, sent_ts: str, seq: str) ->
     )
 
 
-def send_messages(messages: DataFrame, path: str, by_hour: bool = False) -> None:
-    """Append to the queue; ``by_hour`` with a folder per hour sent, which ``read_since`` picks from."""
-    writer = messages.write
+def send_messages(messages: DataFrame, path: str, by_hour: bool = False, apart: str | None = None) -> None:
+    """Append to the queue; ``by_hour`` with a folder per hour sent, which ``read_since`` picks from.
+
+    Messages that differ in the column ``apart``, which is not sent, go to files of their own.
+    """
+    writer = messages.write.partitionBy(*([apart] if apart else []))
     if by_hour:
         hour = F.call_function("div", F.unix_micros("sent_ts"), F.lit(HOUR_MICROS))
-        writer = messages.withColumn(HOUR, hour).hint("rebalance", HOUR).write.partitionBy(HOUR)
+        writer = messages.withColumn(HOUR, hour).hint("rebalance", HOUR).write.partitionBy(HOUR, *([apart] if apart else []))
     writer.mode("append").options(**_TIMES, **_FILES).json(path)
 
 

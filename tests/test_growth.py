@@ -39,3 +39,12 @@ def test_bodies_do_not_take_part_in_the_join_of_the_view(spark, sf):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "from_json" in plan[plan.index("SortMergeJoin"):]  # below the join, so before its shuffle
+
+
+def test_messages_sent_apart_share_no_file(spark, tmp_path):
+    path, sent = str(tmp_path / "q"), _messages(spark, 100)
+    messages.send_messages(sent.withColumn("old", F.col("seq") < 30), path, apart="old")
+    back = messages.read_messages(spark, path)
+    assert back.columns == sent.columns and back.count() == 100 and back.exceptAll(sent).isEmpty()
+    kinds = back.groupBy(F.col("_metadata.file_path")).agg(F.count_distinct(F.col("seq") < 30).alias("n"))
+    assert {r["n"] for r in kinds.collect()} == {1}
