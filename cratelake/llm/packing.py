@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 
 from cratelake.llm.prefix import running_total
 from cratelake.llm.store import stored
-from cratelake.llm.text import LOWER, Words, flat, mix, slices
-from cratelake.llm.tokens import Memo, byte_level, joined, pieces
+from cratelake.llm.text import LOWER, Words, flat, give_back, mix, slices
+from cratelake.llm.tokens import ByteLevel, Memo, byte_level, joined, pieces
 
 LENGTH = 2048
 END = 1  # id after each document
@@ -79,32 +79,37 @@ def encoder(vocabulary: str | None) -> Memo:
 
 def tokenized(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """``uid, doc_id, key, n, ids``: token ids of each row's text with the end id, two bytes each, or four for large vocabularies."""
+    def coded(part: pa.RecordBatch, uid: int, model: ByteLevel, encode: Memo) -> pa.RecordBatch:
+        end, width = np.array([END], model.width).tobytes(), np.dtype(model.width).itemsize
+        found, first = pieces(*flat(part.column("text")), model.inner)
+        distinct = found.dictionary_encode()
+        values = [*encode(distinct.dictionary.to_pylist()), end]
+        count = len(part)
+        codes = np.insert(distinct.indices.to_numpy().astype(np.int64), first[1:], len(values) - 1)
+        body, begins = joined(values, codes)
+        at = begins[first + np.arange(count + 1)]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.arange(uid, uid + count)), part.column("doc_id").cast(pa.int64()),
+                pa.array(np.concatenate([curve_keys(x.column("text")) for x in slices(part, "text")]).astype(np.int64)),
+                pa.array(np.diff(at) // width),
+                pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), count, [None, pa.py_buffer(at), pa.py_buffer(body)]).cast(pa.binary()),
+            ],
+            names=["uid", "doc_id", "key", "n", "ids"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, encode = byte_level(vocabulary), encoder(vocabulary)
-        end, width = np.array([END], model.width).tobytes(), np.dtype(model.width).itemsize
         uid = TaskContext.get().partitionId() << 40
         encode.clear()  # what a worker keeps between tasks would stay through later stages
         for batch in batches:
             for part in slices(batch, "text", TOKEN_BYTES):
-                found, first = pieces(*flat(part.column("text")), model.inner)
-                coded = found.dictionary_encode()
-                values = [*encode(coded.dictionary.to_pylist()), end]
-                count = len(part)
-                codes = np.insert(coded.indices.to_numpy().astype(np.int64), first[1:], len(values) - 1)
-                body, begins = joined(values, codes)
-                at = begins[first + np.arange(count + 1)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.arange(uid, uid + count)), part.column("doc_id").cast(pa.int64()),
-                        pa.array(np.concatenate([curve_keys(x.column("text")) for x in slices(part, "text")]).astype(np.int64)),
-                        pa.array(np.diff(at) // width),
-                        pa.LargeBinaryArray.from_buffers(
-                            pa.large_binary(), count, [None, pa.py_buffer(at), pa.py_buffer(body)]).cast(pa.binary()),
-                    ],
-                    names=["uid", "doc_id", "key", "n", "ids"],
-                )
-                uid += count
+                yield coded(part, uid, model, encode)
+                uid += len(part)
+            give_back()
         encode.clear()
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, "uid long, doc_id long, key long, n long, ids binary")
 
@@ -146,6 +151,7 @@ def pack(docs: DataFrame, length: int = LENGTH, vocabulary: str | None = None) -
                     [pa.array(x, kind) for x, kind in zip(out, kinds)],
                     names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
                 )
+            give_back()
 
     return placed.mapInArrow(
         cut, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"

@@ -6,6 +6,8 @@ slice of its own, so memory follows the longest text, not the batch.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -78,6 +80,20 @@ def slices(
         at = to
 
 
+@functools.lru_cache(1)
+def _trim() -> Callable[[int], int] | None:
+    """The C library's own way to return free memory; other libraries have none."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return memory that was freed to the system. A Python worker lives on between tasks and stages, and what
+    its allocators keep counts against its executor while others work."""
+    pa.default_memory_pool().release_unused()
+    if trim := _trim():
+        trim(0)
+
+
 def map_slices(
     df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: T.StructType | str, text: str = "text",
     rows: int | None = None,
@@ -87,6 +103,7 @@ def map_slices(
         for batch in batches:
             for part in slices(batch, text, rows=rows):
                 yield fn(part)
+            give_back()
 
     return df.mapInArrow(run, schema)
 
