@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +19,7 @@ from cratelake.sources.files import delete, ensure_folder, exists, folders
 
 BUCKETS = 256  # parts of the folded state, at most
 BUCKET_ROWS = 100_000  # contents of a part, at least
+SLOTS = 16_384  # groups by hash that hold the state of a stream's contents; fixed, as checkpoints depend on it
 FOLD_EVERY = 8  # micro-batches whose accepted messages are read beside the folded state
 
 
@@ -34,60 +36,87 @@ def deduplicate_stream(
 
     The state of a content is the time of its last accepted message. Without ``lateness``
     it is kept for good and no message is lost however late it comes. With it, a content's
-    state goes once the stream has moved past the interval, and messages later than that
-    are lost; give it only where arrival order is guaranteed.
-
-    One task handles a content's messages of one micro-batch, three narrow columns each;
-    the source's maxFilesPerTrigger or maxBytesPerTrigger bounds them. For large
-    micro-batches use deduplicate_batches.
+    state goes once the stream has moved past the interval, at the latest with that of the contents it
+    shares a slot with, and messages later than that are lost; give it only where arrival order is guaranteed.
+
+    Contents share ``SLOTS`` groups by hash, each with one state, so that a micro-batch of very many
+    contents is not as many calls. One task handles a slot's messages of one micro-batch, narrow columns
+    each; the source's maxFilesPerTrigger or maxBytesPerTrigger bounds them. For large
+    micro-batches use deduplicate_batches. Contents of types that a hash table may tell apart otherwise
+    than Spark does have a group each.
     """
     step = int(interval.total_seconds() * 1_000_000)
     rows = messages.select(
         F.col(key).alias("key"), F.col(ts).cast("timestamp").alias("ts"), F.col(tie).alias("tie")
     ).dropna().withColumn("us", F.unix_micros("ts"))
+    out = T.StructType(list(rows.schema)[:3])
+    kind = rows.schema["key"].dataType
+    shared = kind == T.StringType() or isinstance(kind, (T.BinaryType, T.IntegralType, T.DateType))
+    rows = rows.withColumn("slot", F.pmod(F.xxhash64("key"), F.lit(SLOTS)) if shared else F.col("key"))
     timeout = GroupStateTimeout.NoTimeout
     if lateness is not None:
         rows = rows.withWatermark("ts", f"{int(lateness.total_seconds())} seconds")
         timeout = GroupStateTimeout.EventTimeTimeout
 
     def fold(
-        content: tuple, parts: Iterator[pd.DataFrame], state: GroupState
+        slot: tuple, parts: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
         first, *more = parts
         arrived = pd.concat([first, *more], ignore_index=True) if more else first
+        codes, names = np.zeros(len(arrived), np.int64), [0]
+        if shared:
+            codes, names = pd.factorize(arrived["key"])
+            names = names.tolist()
+        last = _read_times(state.get[0]) if state.exists else {}
         micros = arrived["us"].to_numpy()  # times as the session shows them may repeat an hour
-        order = np.lexsort((arrived["tie"].to_numpy(), micros))
-        micros = micros[order]
-        due = state.get[0] + step if state.exists else micros[0]
-        kept = []
-        at = int(np.searchsorted(micros, due))
-        while at < len(micros):
-            kept.append(at)
-            due = int(micros[at]) + step
-            at = int(np.searchsorted(micros, due))
-        if kept:
-            state.update((due - step,))
+        order = np.lexsort((arrived["tie"].to_numpy(), micros, codes))
+        kept, here, due = [], -1, 0
+        for at, code, us in zip(order.tolist(), codes[order].tolist(), micros[order].tolist()):
+            if code != here:
+                here, name = code, names[code]
+                due = last[name] + step if name in last else us
+            if us >= due:
+                kept.append(at)
+                last[name] = us
+                due = us + step
         if lateness is not None:
-            ends = due // 1000 + 1
-            if ends > state.getCurrentWatermarkMs():
-                state.setTimeoutTimestamp(ends)
-            else:
-                state.remove()
+            passed = state.getCurrentWatermarkMs()
+            last = {name: us for name, us in last.items() if (us + step) // 1000 + 1 > passed}
+        if last:
+            state.update((_written_times(last),))
+            if lateness is not None:
+                state.setTimeoutTimestamp((max(last.values()) + step) // 1000 + 1)
+        elif state.exists:
+            state.remove()
         if kept:
-            yield arrived.iloc[order[kept]]
+            yield arrived[["key", "ts", "tie"]].iloc[kept]
 
-    return rows.groupBy("key").applyInPandasWithState(
+    return rows.groupBy("slot").applyInPandasWithState(
         fold,
-        T.StructType(list(rows.schema)),
-        "last_us BIGINT",
+        out,
+        "last BINARY",
         "append",
         timeout,
     ).select(F.col("key").alias(key), F.col("ts").alias(ts), F.col("tie").alias(tie))
 
 
+def _written_times(last: dict) -> bytes:
+    """Contents and the times they were last accepted, as an Arrow stream."""
+    batch = pa.record_batch([pa.array(list(last)), pa.array(list(last.values()), pa.int64())], ["key", "us"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as stream:
+        stream.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _read_times(written: bytes) -> dict:
+    table = pa.ipc.open_stream(bytes(written)).read_all()
+    return dict(zip(table["key"].to_pylist(), table["us"].to_pylist()))
+
+
 def deduplicate_batches(
     messages: DataFrame,
     interval: dt.timedelta,
