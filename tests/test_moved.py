@@ -71,3 +71,7 @@ def _in_proportion(moved, name):
 
 def test_routed_files_that_are_listed(moved):
     _in_proportion(moved, "list_files")
+
+
+def test_routed_files_that_are_ingested(moved):
+    _in_proportion(moved, "track_delivered")
