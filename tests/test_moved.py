@@ -75,3 +75,7 @@ def test_routed_files_that_are_listed(moved):
 
 def test_routed_files_that_are_ingested(moved):
     _in_proportion(moved, "track_delivered")
+
+
+def test_landed_files(moved):
+    _in_proportion(moved, "sink_bronze_csv")
