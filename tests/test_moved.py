@@ -85,3 +85,7 @@ def test_rollup_collects_no_customers(spark, moved):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")  # customers of either size lie below Spark's own
     (_, small), (_, large) = (moved("fulfilled_by_month_rollup", sf_dir) for sf_dir in SIZES)
     assert large == small
+
+
+def test_queue_that_is_scanned(moved):
+    _in_proportion(moved, "pending_after_scan")
