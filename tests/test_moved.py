@@ -89,3 +89,7 @@ def test_rollup_collects_no_customers(spark, moved):
 
 def test_queue_that_is_scanned(moved):
     _in_proportion(moved, "pending_after_scan")
+
+
+def test_gold(moved):
+    _in_proportion(moved, "gold_write")
